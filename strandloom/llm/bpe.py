@@ -16,6 +16,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,10 @@ from pyspark.sql import functions as F
 from strandloom.llm.common import ragged, row_blocks
 
 #: Pieces that one worker remembers; beyond that it starts afresh.
-CACHED_PIECES = 250_000
+CACHED_PIECES = 400_000
 _ODD_SPACE = re.compile(r" (?=\s|\Z)")
 _CUT = re.compile(r"(?= \S)")
+_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]?")
 
 
 def byte_alphabet() -> list[str]:
@@ -94,52 +96,79 @@ class _Index(dict):
 
 
 class PieceEncoder:
-    """Encodes blocks of texts; a piece is a text's head, or a space with what follows it up to the next."""
+    """Encodes blocks of texts; a piece is a text's head, or a space with what follows it up to the next.
+
+    Pieces are remembered up to a bound; when it is met, the half that was asked for most often stays.
+    """
 
     def __init__(self, tokenizer, cached: int = CACHED_PIECES):
         self.tokenizer, self.cached = tokenizer, cached
         self.bytes = bytes_of_ids(tokenizer)
         self.opens = np.array([bool(b) and b[:1] == b" " for b in self.bytes] + [False] * 1024)
-        self.reset()
-
-    def reset(self) -> None:
-        self.index = _Index()
-        self.starts, self.counts, self.flat, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.int32), 0
+        chars = byte_alphabet()
+        self.spelling = {b: chars[b] for b in range(256)}
+        self.index, self.used = _Index(), 0
+        self.starts, self.counts, self.hits, self.flat = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 16, np.int32)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _shrink(self) -> None:
+        n = len(self.index)
+        kept = np.sort(np.argsort(-self.hits[:n], kind="stable")[: self.cached // 2])
+        keys = list(self.index)
+        self.index = _Index()
+        self.index.update((keys[k], i) for i, k in enumerate(kept.tolist()))
+        counts = self.counts[kept]
+        ids = self.flat[ragged(self.starts[kept], counts)]
+        self.used = len(ids)
+        self.flat[: self.used] = ids
+        self.counts[: len(kept)], self.hits[: len(kept)], self.starts[: len(kept)] = counts, self.hits[kept] // 2, np.cumsum(counts) - counts
+        self.hits[len(kept) :] = 0
 
     def _learn(self) -> None:
+        """Ids of the pieces that the index has just numbered.
+
+        A word of Latin letters is one match of the split, alone or with one point or comma after it, and goes to the
+        merges directly; others go through the whole tokenizer.
+        """
         fresh, self.index.fresh = self.index.fresh, []
-        first = len(self.index) - len(fresh)
-        plain = [i for i, w in enumerate(fresh) if w[:1] != "\0" and " " not in w]
+        first, known = len(self.index) - len(fresh), self.index.get
+        tails = {c: self.whole([c])[0] for c in ".,"}
+        merge = self.tokenizer.model.tokenize
         ids: list = [None] * len(fresh)
-        for k in range(0, len(plain), 4096):
-            part = plain[k : k + 4096]
-            got = np.array(self.whole(["".join(" " + fresh[i] for i in part)])[0], dtype=np.int32)
-            cuts = np.flatnonzero(self.opens[got])
-            if len(cuts) == len(part) and (not len(cuts) or cuts[0] == 0):
-                for i, x in zip(part, np.split(got, cuts[1:]), strict=True):
-                    ids[i] = x
-        rest = [i for i, x in enumerate(ids) if x is None]
+        rest: list[int] = []
+        for i, w in enumerate(fresh):
+            if _LATIN.fullmatch(w):
+                stem, tail = (w[:-1], w[-1]) if w[-1] in tails else (w, "")
+                at = known(stem) if tail else None
+                if at is not None and at < first:
+                    a = self.starts[at]
+                    own = self.flat[a : a + self.counts[at]].tolist()
+                elif at is not None and ids[at - first] is not None:
+                    own = ids[at - first]
+                else:
+                    own = [t.id for t in merge((" " + stem).encode().decode("latin-1").translate(self.spelling))]
+                ids[i] = own + tails[tail] if tail else own
+            else:
+                rest.append(i)
         for i, x in zip(rest, self.whole([fresh[i][1:] if fresh[i][:1] == "\0" else " " + fresh[i] for i in rest]), strict=True):
-            ids[i] = np.array(x, dtype=np.int32)
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
-        while len(self.starts) < len(self.index):
-            self.starts, self.counts = np.concatenate([self.starts, self.starts]), np.concatenate([self.counts, self.counts])
-        need = self.used + int(sizes.sum())
+            ids[i] = x
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        need, n = self.used + int(sizes.sum()), len(self.index)
+        while len(self.starts) < n:
+            self.starts, self.counts, self.hits = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.starts, self.counts, self.hits))
         while len(self.flat) < need:
-            self.flat = np.concatenate([self.flat, self.flat])
-        if len(ids):
-            self.flat[self.used : need] = np.concatenate(ids)
-        self.counts[first : len(self.index)] = sizes
-        self.starts[first : len(self.index)] = self.used + np.cumsum(sizes) - sizes
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.int32)])
+        self.flat[self.used : need] = np.fromiter(chain.from_iterable(ids), np.int32, need - self.used)
+        self.counts[first:n] = sizes
+        self.starts[first:n] = self.used + np.cumsum(sizes) - sizes
         self.used = need
 
     def block(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and each text's first position among them (one more entry at the end)."""
         if len(self.index) > self.cached:
-            self.reset()
+            self._shrink()
         words: list[str] = []
         ends: list[int] = []
         apart: dict[int, np.ndarray] = {}
@@ -160,6 +189,7 @@ class PieceEncoder:
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.fresh:
             self._learn()
+        self.hits[: len(self.index)] += np.bincount(at, minlength=len(self.index))
         counts = self.counts[at]
         ids = self.flat[ragged(self.starts[at], counts)]
         bounds = np.concatenate([[0], np.concatenate([[0], np.cumsum(counts)])[np.array(ends, dtype=np.int64)]]) if ends else np.zeros(1, np.int64)

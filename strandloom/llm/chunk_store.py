@@ -4,8 +4,9 @@ Each document's ids (with an end id) are cut where a rolling hash of the last id
 make equal chunks wherever they stand. A chunk is filed under the digest of its ids and stored once; a document is a
 recipe of digests with a Merkle root over them, and documents stand in ascending id order in range-partitioned files.
 
-Store layout under one folder: `chunks` (digest, n, payload: zstd of little-endian 32-bit ids), `recipes` (doc_id,
-n_tokens, digests, root, part, before) sorted by doc_id, part counting the files and before the ids earlier in the file.
+Store layout under one folder: `chunks/kind=1` (key: the digest, n, body: zstd of the ids), `chunks/kind=0` (the recipes
+as they came), `recipes` (doc_id, n_tokens, digests, root, part, before) sorted by doc_id, part counting the files and
+before the ids earlier in the file. Texts are encoded once and chunks go through one shuffle, where each digest meets.
 
 Reading back decodes every stored chunk, checks it against its digest and takes its crc32; a document's crc32 comes
 from its chunks' by the rule for joined streams, so no stream has to be shuffled whole. Only slim rows are.
@@ -58,6 +59,16 @@ def cut_points(ids: np.ndarray) -> list[int]:
     return ends
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """Ids as 16-bit numbers where they fit, else as 32-bit ones."""
+    return ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes()
+
+
+def unpacked(raw: bytes, n: int) -> bytes:
+    """The ids as little-endian 32-bit numbers."""
+    return np.frombuffer(raw, "<u2").astype("<u4").tobytes() if len(raw) == 2 * n else raw
+
+
 def merkle_root(digests: list[bytes]) -> bytes:
     """Pairwise hashes up to one; an odd last digest moves up as it is. No digest: the hash of nothing."""
     level = digests or [hashlib.blake2b(b"", digest_size=DIGEST).digest()]
@@ -105,10 +116,11 @@ def write_store(df: DataFrame, folder: str, vocabulary: str, end_id: int = 0, do
         import zstandard
 
         enc, press, seen = encoder(vocabulary), zstandard.ZstdCompressor(level=3), set()
-        names = ["kind", "doc_id", "n", "digests", "payload"]
+        part, row = TaskContext.get().partitionId(), 0
+        names, kinds = ["kind", "key", "doc_id", "n", "body", "root"], (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         for block in row_blocks(batches, "text"):
             ids, bounds = enc.block(block.column("text").to_pylist())
-            rows: list[list] = [[], [], [], [], []]
+            rows: list[tuple] = []
             for key, a, b in zip(block.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 stream = np.append(ids[a:b], end_id).astype("<u4")
                 last, digests = 0, []
@@ -120,22 +132,19 @@ def write_store(df: DataFrame, folder: str, vocabulary: str, end_id: int = 0, do
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(digest)
-                        for column, value in zip(rows, (1, None, end - last, digest, press.compress(raw)), strict=True):
-                            column.append(value)
+                        rows.append((1, digest, None, end - last, press.compress(packed(stream[last:end])), None))
                     last = end
-                for column, value in zip(rows, (0, key, len(stream), b"".join(digests), merkle_root(digests)), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names)
+                rows.append((0, part.to_bytes(8, "big") + row.to_bytes(8, "big"), key, len(stream), b"".join(digests), merkle_root(digests)))
+                row += 1
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     spark = df.sparkSession
-    fields = "kind int, doc_id long, n long, digests binary, payload binary"
-    made = f"{folder}/made"
-    slim.mapInArrow(run, fields).write.partitionBy("kind").option("compression", "uncompressed").parquet(made)
-    read = spark.read.schema(fields).parquet(made)
-    chunks = read.where("kind = 1").select(F.col("digests").alias("digest"), "n", "payload")
-    chunks.dropDuplicates(["digest"]).write.option("compression", "uncompressed").parquet(f"{folder}/chunks")
-
-    recipes = read.where("kind = 0").select("doc_id", F.col("n").alias("n_tokens"), "digests", F.col("payload").alias("root"))
+    fields = "kind int, key binary, doc_id long, n long, body binary, root binary"
+    first = [F.first(c).alias(c) for c in ("doc_id", "n", "body", "root")]
+    once = slim.mapInArrow(run, fields).groupBy("kind", "key").agg(*first)  # a recipe's key is its own, a chunk's its digest
+    once.write.partitionBy("kind").option("compression", "uncompressed").parquet(f"{folder}/chunks")
+    read = spark.read.schema(fields).parquet(f"{folder}/chunks")
+    recipes = read.where("kind = 0").select("doc_id", F.col("n").alias("n_tokens"), F.col("body").alias("digests"), "root")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
@@ -152,7 +161,7 @@ def write_store(df: DataFrame, folder: str, vocabulary: str, end_id: int = 0, do
 
 def read_store(spark: SparkSession, folder: str) -> DataFrame:
     """Per document from the store's files: doc_id, start, n_tokens, ids_crc32, root. A chunk or recipe that fails its digest, root or count is an error."""
-    chunks = spark.read.schema("digest binary, n long, payload binary").parquet(f"{folder}/chunks")
+    chunks = spark.read.schema("kind int, key binary, n long, body binary").parquet(f"{folder}/chunks").where("kind = 1").select(F.col("key").alias("digest"), "n", F.col("body").alias("payload"))
     recipes = spark.read.schema("doc_id long, n_tokens long, digests binary, root binary, part int, before long").parquet(f"{folder}/recipes")
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +171,8 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             sums = []
             for digest, n, payload in zip(*(batch.column(c).to_pylist() for c in ("digest", "n", "payload")), strict=True):
-                raw = press.decompress(payload)
-                if len(raw) != 4 * n or hashlib.blake2b(raw, digest_size=DIGEST).digest() != digest:
+                raw = unpacked(press.decompress(payload), n)
+                if hashlib.blake2b(raw, digest_size=DIGEST).digest() != digest:
                     raise ValueError(f"chunk {digest.hex()} differs from its digest")
                 sums.append(zlib.crc32(raw))
             yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("n"), pa.array(sums, pa.int64())], ["digest", "n", "crc"])
