@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from strandloom.llm import bpe, chunk_store, licenses, matroska, mixing
+from strandloom.llm import bpe, chunk_store, langid, lattice, licenses, matroska, mixing, near_dup, pii, toxicity
 
 RANKS, JSON = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 
@@ -21,10 +21,31 @@ def op2_source_mix(spark, sf_dir):
     return mixing.mix_report(_documents(spark, sf_dir))
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity.score_report(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_license_scan(spark, sf_dir):
     return licenses.scan(_documents(spark, sf_dir))
 
 
+def op5_language(spark, sf_dir):
+    return langid.report(_documents(spark, sf_dir))
+
+
+def op6_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(_documents(spark, sf_dir), width=4, percent=80)
+
+
+def op7_lattice(spark, sf_dir):
+    return lattice.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.95)
+
+
+def op8_pii(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    return pii.report(docs, pii.fit(docs))
+
+
 def op9_matroska(spark, sf_dir):
     return matroska.media_digest(_documents(spark, sf_dir))
 
@@ -33,7 +54,13 @@ def op10_chunk_store(spark, sf_dir):
     return chunk_store.store_round_trip(_documents(spark, sf_dir), JSON).drop("root")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_source_mix, op4_license_scan, op9_matroska, op10_chunk_store)}
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_source_mix, op3_toxicity, op4_license_scan, op5_language, op6_near_dup, op7_lattice, op8_pii, op9_matroska, op10_chunk_store, pipeline)}
 
 MIX_SQL = f"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{mixing.WORD}')), 0) AS BIGINT) AS size FROM documents),
