@@ -176,13 +176,13 @@ class SegmentModel:
         alpha[0, 0] = 1
         scale = np.ones(n + 1)
         for j in range(1, n + 1):
-            alpha[j, 0] = (alpha[j - 1] @ step)[0] / scale[j - 1]
+            alpha[j, 0] = (alpha[j - 1] @ step)[0]
             for s in ending[j]:
                 i = lattice.segments[s][0]
-                alpha[j, 1:] += (alpha[i] @ step)[1:] * grown[s] / np.prod(scale[i:j])
+                alpha[j, 1:] += (alpha[i] @ step)[1:] * grown[s] / np.prod(scale[i + 1 : j])
             scale[j] = alpha[j].sum() or 1.0
             alpha[j] /= scale[j]
-        # alpha[j] * prod(scale[1..j]) are the true sums: divisions above keep that product in step
+        # the true sums are alpha[j] * prod(scale[1..j]); those of beta are beta[i] * prod(scale[i+1..n])
         beta = np.zeros((n + 1, k))
         beta[n] = 1
         for i in range(n - 1, -1, -1):
