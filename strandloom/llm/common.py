@@ -30,12 +30,16 @@ def work_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write df to the shared folder and read it back, which cuts its lineage and survives lost executors."""
+def staged(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back, which cuts its lineage and survives lost executors.
+
+    A slim table, of a few numbers a row, is made by a quarter of the shuffle's tasks, as its partitions are small.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/strandloom/{name}-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    if slim:
+        df = df.coalesce(max(1, shuffle_width(spark) // 4))
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -66,6 +70,8 @@ def row_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOC
                 begin, held = i, 0
             held += n
         yield batch.slice(begin)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

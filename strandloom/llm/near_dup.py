@@ -5,12 +5,13 @@
 2. Trees. In each of TREES independent trees a class starts at the node of its minwise token. Nodes of one class end;
    nodes of up to NODE classes are compared exhaustively; larger nodes branch by further minwise values, chosen by the
    node, early on by a second value too with the chance that keeps a pair at the threshold together on average, and
-   deeper by runs of values that double each time. A node that all 64 values can't split is dealt to blocks that share
-   one member. So every class is in about one small node of every tree, however large a group of copies is.
+   deeper by longer and longer runs of values. Below the first level a large node is also dealt to blocks that share
+   four of its members, which joins dense groups that branching tears apart. So every class is in a few small nodes of every tree, however large a group of copies is.
 3. Candidates. Inside a node, pairs whose one-byte values agree enough and whose set sizes allow the threshold join up to
    groups. Equal groups from several trees are kept once.
 4. Links. Groups get their members' full sets, and a member is compared with another only while no verified chain of
-   links joins them. Trees are taken in three rounds; later rounds skip groups that earlier ones have joined whole.
+   links joins them. Trees are taken in two rounds; in the second, nodes whose members the first has all joined end
+   at once, so large groups of copies go through few trees.
 5. Components of the verified links, and back from classes to documents.
 
 Only hashed paths, sketches and the sets of candidate classes are shuffled. No group is listed pair by pair.
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from strandloom.llm.common import row_blocks, staged
 from strandloom.llm.components import components
 
-TREES, VALUES, NODE, LEVELS = 12, 64, 128, (1, 1, 2, 4, 8, 16, 32)
-ROUNDS = ((0, 0), (1, 3), (4, TREES - 1))
+TREES, VALUES, NODE, LEVELS = 16, 64, 512, (1, 2, 3, 6, 14, 34)
+ROUNDS = ((0, 1), (2, TREES - 1))
 #: Standard errors of the estimate by which a pair may miss the threshold and still be verified.
 SLACK = 3.5
 
@@ -154,8 +155,8 @@ class Joined:
         return i != j
 
 
-def candidate_groups(sigs: np.ndarray, sizes: np.ndarray, percent: int) -> list[list[int]]:
-    """Positions joined by pairs whose values agree and whose sizes fit, in groups of two at least."""
+def candidate_groups(sigs: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int) -> list[list[int]]:
+    """Positions joined by pairs of different labels whose values agree and whose sizes fit, in groups of two at least."""
     t = percent / 100
     chance = t + (1 - t) / 256
     least = VALUES * chance - SLACK * np.sqrt(VALUES * chance * (1 - chance))
@@ -163,7 +164,7 @@ def candidate_groups(sigs: np.ndarray, sizes: np.ndarray, percent: int) -> list[
     for i in range(len(sigs) - 1):
         same = (sigs[i + 1 :] == sigs[i]).sum(1) >= least
         low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
-        for j in np.flatnonzero(same & (100 * low >= percent * high)).tolist():
+        for j in np.flatnonzero(same & (100 * low >= percent * high) & (labels[i + 1 :] != labels[i])).tolist():
             joined.join(i, i + 1 + j)
     groups: dict[int, list[int]] = {}
     for i in range(len(sigs)):
@@ -171,31 +172,34 @@ def candidate_groups(sigs: np.ndarray, sizes: np.ndarray, percent: int) -> list[
     return [g for g in groups.values() if len(g) > 1]
 
 
-def tree_nodes(classes: DataFrame) -> DataFrame:
-    """(tree, path, node) for all small nodes of two classes or more, and blocks of those that can't be split."""
-    pick = F.posexplode("paths").alias("tree", "token")
-    current = classes.select("node", pick).select("node", "tree", F.xxhash64("tree", "token").alias("path"))
+def tree_nodes(classes: DataFrame, low: int, high: int) -> DataFrame:
+    """(tree, path, node) for the small nodes of trees low to high that hold different labels, and for blocks of large ones. classes: node, label, paths, sig."""
+    pick = F.posexplode(F.slice("paths", low + 1, high - low + 1)).alias("k", "token")
+    current = classes.select("node", "label", pick).select("node", "label", (F.col("k") + low).alias("tree"), F.xxhash64(F.col("k") + low, "token").alias("path"))
+    ranks = [F.xxhash64("node", "tree", F.lit(k)) for k in (1, 2)]
     leaves = None
     for level in range(len(LEVELS) + 1):
-        current = staged(current, f"level{level}")
-        sizes = staged(current.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1"), "sizes")
-        hit = staged(current.join(sizes, "path"), "nodes")
+        ends = [f(r).alias(f"end{i}{j}") for i, r in enumerate(ranks) for j, f in enumerate((F.min, F.max))]
+        sizes = staged(current.groupBy("path").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), *ends).where("lo < hi"), "sizes", slim=True)
+        hit = staged(current.join(sizes, "path"), "nodes", slim=True)
         small = hit.where(F.col("n") <= NODE).select("tree", "path", "node")
         leaves = small if leaves is None else leaves.union(small)
         big = hit.where(F.col("n") > NODE)
         if sizes.where(F.col("n") > NODE).isEmpty():
             break
-        if level == len(LEVELS):
+        if level:
             blocks = F.ceil(F.col("n") / (NODE // 2))
-            dealt = big.select("tree", F.xxhash64("path", F.pmod(F.xxhash64("node", F.lit(7)), blocks)).alias("path"), "node", "hub")
-            leaves = leaves.union(dealt.select("tree", "path", "node")).union(dealt.select("tree", "path", F.col("hub").alias("node")).distinct())
+            hub = ranks[0].isin(F.col("end00"), F.col("end01")) | ranks[1].isin(F.col("end10"), F.col("end11"))
+            own = F.when(hub, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", "path"), blocks)))
+            leaves = leaves.union(big.select("tree", "path", "node", F.explode(own).alias("block")).select("tree", F.xxhash64("path", "block", F.lit("block")).alias("path"), "node"))
+        if level == len(LEVELS):
             break
         twice = F.concat("sig", "sig")
         at = lambda salt: F.pmod(F.xxhash64("path", F.lit(salt)), F.lit(VALUES)).cast("int") + 1
         child = lambda salt: F.xxhash64("path", F.lit(salt), F.substring(twice, at(salt), F.lit(LEVELS[level])))
         again = (F.pmod(F.xxhash64("path", F.lit(99)), F.lit(100)) < 25) & F.lit(level < 2)
         paths = F.when(again, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-        current = big.join(classes.select("node", "sig"), "node").select("node", "tree", F.explode(paths).alias("path"))
+        current = big.join(classes.select("node", "sig"), "node").select("node", "label", "tree", F.explode(paths).alias("path"))
     return leaves
 
 
@@ -205,61 +209,72 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     sketch = staged(sketches(slim, width).withColumn("node", F.xxhash64("key")), "sketches")
     full = sketch.where("n_shingles > 0")
     classes = staged(full.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("node").alias("node"), F.first("n_shingles").alias("n"), F.first("paths").alias("paths"), F.first("sig").alias("sig")).drop("key"), "classes")
-    leaves = tree_nodes(classes.select("node", "paths", "sig")).join(classes.select("node", "n", "sig"), "node")
+    links = labels = full_sets = None
+    for low, high in ROUNDS:
+        if labels is None:
+            labelled = classes.withColumn("label", F.col("node"))
+        else:
+            labelled = staged(classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+        groups = _groups(labelled, low, high, percent)
+        wanted = groups.select("node").distinct()
+        if full_sets is not None:
+            wanted = wanted.join(full_sets.select("node"), "node", "left_anti")
+        reps = staged(wanted.join(classes.select("node", "rep"), "node").select(F.col("rep").alias("doc_id")).distinct(), "wanted", slim=True)
+        new_sets = staged(_sets(slim.join(reps, "doc_id", "left_semi"), width), "sets")
+        full_sets = new_sets if full_sets is None else full_sets.union(new_sets)
+        placed = groups.join(full_sets, "node").repartition("gid").sortWithinPartitions("gid").select("gid", "node", "label", "vals")
+        found = staged(placed.mapInArrow(_verifier(percent), "a long, b long"), "verified", slim=True)
+        links = found if links is None else links.union(found)
+        labels = staged(components(links), "labels", slim=True)
+
+    named = classes.join(labels, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
+    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    of_class = named.join(staged(least, "least", slim=True), "label").select("node", "component_id")
+    out = sketch.select("doc_id", "n_shingles", "node").join(staged(of_class, "components", slim=True), "node", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def _groups(classes: DataFrame, low: int, high: int, percent: int) -> DataFrame:
+    """(gid, node, label) of the candidate groups in trees low to high; equal groups of several nodes once. classes: node, label, n, paths, sig."""
+    leaves = tree_nodes(classes.select("node", "label", "paths", "sig"), low, high).join(classes.select("node", "label", "n", "sig"), "node")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _batched(grouped(batches, "path")):
             rows: list[tuple[int, int, int]] = []
             for group in block:
-                found = candidate_groups(np.array([list(r["sig"]) for r in group], np.uint8), np.array([r["n"] for r in group]), percent)
+                labels = {r["node"]: r["label"] for r in group}
+                found = candidate_groups(np.array([list(r["sig"]) for r in group], np.uint8), np.array([r["n"] for r in group]), np.array([r["label"] for r in group]), percent)
                 for g in found:
                     nodes = sorted({group[i]["node"] for i in g})
                     name = int.from_bytes(hashlib.blake2b(np.array(nodes, np.int64).tobytes(), digest_size=8).digest(), "little", signed=True)
-                    rows += [(name, group[0]["tree"], n) for n in nodes if len(nodes) > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], ["gid", "tree", "node"])
+                    rows += [(name, n, labels[n]) for n in nodes]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["gid", "node", "label"])
+
+    ordered = leaves.repartition("path").sortWithinPartitions("path").select("path", "node", "label", "n", "sig")
+    return staged(ordered.mapInArrow(candidates, "gid long, node long, label long").distinct(), "groups", slim=True)
 
-    sorted_leaves = leaves.repartition("path").sortWithinPartitions("path")
-    found = sorted_leaves.select("path", "tree", "node", "n", "sig").mapInArrow(candidates, "gid long, tree int, node long")
-    groups = staged(found.groupBy("gid", "node").agg(F.min("tree").alias("tree")), "groups")
 
-    wanted = groups.select("node").distinct().join(classes.select("node", "rep"), "node").select(F.col("rep").alias("doc_id"))
-    texts = slim.join(wanted.distinct(), "doc_id", "left_semi")
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """(node, vals) of the texts' classes; a repeated row repeats its class."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in row_blocks(batches, "text"):
             made = [s for s in shingle_sets(block.column("text").to_pylist(), width) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in made], pa.binary()), pa.array([s.tobytes() for s in made], pa.binary())], ["key", "vals"])
 
-    full_sets = staged(texts.mapInArrow(sets, "key binary, vals binary").select(F.xxhash64("key").alias("node"), "vals"), "sets")
+    return texts.mapInArrow(run, "key binary, vals binary").select(F.xxhash64("key").alias("node"), "vals")
+
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verifier(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, "gid"):
-            links = links_within([r["node"] for r in group], [r["label"] for r in group], [np.frombuffer(r["vals"], np.uint64) for r in group], percent)
+            once = list({r["node"]: r for r in group}.values())
+            links = links_within([r["node"] for r in once], [r["label"] for r in once], [np.frombuffer(r["vals"], np.uint64) for r in once], percent)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    links = labels = None
-    for low, high in ROUNDS:
-        part = groups.where(F.col("tree").between(low, high)).select("gid", "node")
-        if labels is None:
-            part = part.withColumn("label", F.col("node"))
-        else:
-            part = part.join(labels, "node", "left").select("gid", "node", F.coalesce("label", "node").alias("label"))
-            open_ = staged(part.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("gid"), "open")
-            if open_.isEmpty():
-                continue
-            part = part.join(open_, "gid")
-        placed = part.join(full_sets, "node").repartition("gid").sortWithinPartitions("gid").select("gid", "node", "label", "vals")
-        new = staged(placed.mapInArrow(verified, "a long, b long"), "verified")
-        links = new if links is None else links.union(new)
-        labels = staged(components(links), "labels")
-
-    named = classes.join(labels, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
-    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(staged(least, "least"), "label").select("node", "component_id")
-    out = sketch.select("doc_id", "n_shingles", "node").join(staged(of_class, "components"), "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return run
 
 
 def _batched(groups: Iterator[list[dict]], rows: int = 5000) -> Iterator[list[list[dict]]]:
