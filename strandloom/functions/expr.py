@@ -25,8 +25,7 @@ def blank(c) -> Column:
 
 def number(c) -> Column:
     """The finite number that a trimmed text spells, else null."""
-    text = trim_ws(c)
-    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    value = F.regexp_extract(trim_ws(c), NUMBER, 0).try_cast("double")
     return F.when(F.abs(value) < float("inf"), value)
 
 
@@ -53,7 +52,7 @@ def values_equal(x, y, numeric_ok=True) -> Column:
 def with_parts(df: DataFrame, *columns: str) -> DataFrame:
     """df with each column's trimmed text, number and decimals beside it, for equal_parts: several comparisons then share them."""
     df = df.withColumns({f"{c}__text": trim_ws(c) for c in columns} | {f"{c}__places": decimals(c) for c in columns})
-    value = lambda c: F.when(F.col(f"{c}__text").rlike(NUMBER), F.col(f"{c}__text").try_cast("double"))
+    value = lambda c: F.regexp_extract(f"{c}__text", NUMBER, 0).try_cast("double")
     return df.withColumns({f"{c}__number": value(c) for c in columns})
 
 

@@ -48,6 +48,13 @@ def scan_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return o.join(n, "name", "full_outer").select("name", change.alias("change")).where("change is not null")
 
 
+def manifest_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Every path of two manifests with what became of it and by how many bytes. Both: path, md5, bytes."""
+    o, n = old.select("path", F.col("md5").alias("o"), F.col("bytes").alias("old_bytes")), new.select("path", F.col("md5").alias("n"), F.col("bytes").alias("new_bytes"))
+    change = F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed").otherwise("same")
+    return o.join(n, "path", "full_outer").select("path", change.alias("change"), (F.coalesce("new_bytes", F.lit(0)) - F.coalesce("old_bytes", F.lit(0))).alias("delta"))
+
+
 def duplicate_values(df: DataFrame, column: str, file: str = "file") -> DataFrame:
     """Values that are not blank and occur more than once, with their sorted files."""
     grouped = df.where(~blank(column)).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list(F.col(file).cast("string"))), ", ").alias("files"))

@@ -18,9 +18,8 @@ KEYS = ("tsid", "field")
 IN_PLAY = ("merged", "membership", "key")
 
 
-def _sides(base: DataFrame, sheet: DataFrame, file: DataFrame) -> DataFrame:
-    """One row a cell with every side's value and presence, by one shuffle: tag, union, group."""
-    tagged = reduce(DataFrame.unionByName, [df.select(*KEYS, "value", "dataset_id", F.lit(side).alias("side")) for side, df in (("b", base), ("s", sheet), ("f", file))])
+def _sides(tagged: DataFrame) -> DataFrame:
+    """One row a cell with every side's value and presence, by one shuffle."""
     of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
     return tagged.groupBy(*KEYS).agg(
         of("b", "value").alias("base"), of("s", "value").alias("sheet"), of("f", "value").alias("file"),
@@ -35,8 +34,19 @@ def duplicate_cells(cells: DataFrame) -> DataFrame:
 
 def merge_three_way(base: DataFrame, sheet: DataFrame, file: DataFrame, registry: DataFrame, clear: str = CLEAR) -> DataFrame:
     """Every cell's resolution and value. Each side has a cell once at most (see duplicate_cells)."""
+    tagged = reduce(DataFrame.unionByName, [df.select(*KEYS, "value", "dataset_id", F.lit(side).alias("side")) for side, df in (("b", base), ("s", sheet), ("f", file))])
+    return _resolved(tagged, registry, clear)
+
+
+def merge_with_itself(state: DataFrame, registry: DataFrame, clear: str = CLEAR) -> DataFrame:
+    """The merge of a state with itself on all sides, which must change nothing; the state is computed once."""
+    sides = F.explode(F.array(*[F.lit(s) for s in "bsf"])).alias("side")
+    return _resolved(state.select(*KEYS, "value", "dataset_id", sides), registry, clear)
+
+
+def _resolved(tagged: DataFrame, registry: DataFrame, clear: str) -> DataFrame:
     rules = registry.select(F.col("qc_name").alias("field"), "role", "ownership", "nullable")
-    cells = _sides(base, sheet, file).join(rules, "field", "left").withColumns({"known": F.col("role").isNotNull(), "nullable": F.coalesce("nullable", F.lit(False))})
+    cells = _sides(tagged).join(rules, "field", "left").withColumns({"known": F.col("role").isNotNull(), "nullable": F.coalesce("nullable", F.lit(False))})
     cells = cells.where(~F.col("known") | F.col("role").isin(*IN_PLAY))
     b, s, f, key, machine = F.col("base"), F.col("sheet"), F.col("file"), F.coalesce(F.col("role") == "key", F.lit(False)), F.coalesce(F.col("ownership") == "machine", F.lit(False))
     explicit = F.coalesce(s == clear, F.lit(False))

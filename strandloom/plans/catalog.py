@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandloom.functions.workers import importable
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 ADAPTERS: dict[str, str] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +45,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir, self._made = spark, sf_dir, {}
+        importable(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

@@ -80,8 +80,7 @@ query("write_set", lambda t: merge.write_set(plan_of(t), "c_mktsegment"), f"{PLA
 
 def merged_again(t):
     state = merge.plan_state(plan_of(t)).withColumn("dataset_id", F.coalesce("dataset_id", F.lit("D0")))
-    state = state.cache()  # read three times; the session may drop it
-    return merge.merge_three_way(state, state, state, t.registry).groupBy("resolution").agg(F.count("*").alias("n"))
+    return merge.merge_with_itself(state, t.registry).groupBy("resolution").agg(F.count("*").alias("n"))
 
 
 query("merge_idempotent", merged_again, f"{PLAN} SELECT 'unchanged' AS resolution, count(*) AS n FROM plan WHERE coalesce(value, '') <> ''")

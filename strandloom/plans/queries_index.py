@@ -46,6 +46,8 @@ def identity_issues(t):
 # -- scans and index --------------------------------------------------------------------------------------------------
 query("scan_hash", lambda t: t.documents.select(F.concat(F.lit("d"), F.col("doc_id")).alias("name"), F.md5("text").alias("md5")), "SELECT name, md5 FROM {scan_old}")
 query("scan_diff", lambda t: identity.scan_diff(t.scan_old, t.scan_new), "SELECT coalesce(o.name, n.name) AS name, CASE WHEN o.name IS NULL THEN 'added' WHEN n.name IS NULL THEN 'removed' ELSE 'changed' END AS change FROM {scan_old} o FULL JOIN {scan_new} n ON o.name = n.name WHERE o.md5 IS DISTINCT FROM n.md5")
+MANIFEST = "select 'd' || cast(doc_id as string) as path, md5(text) as md5, n_chars as bytes from {documents} where doc_id % 41 <> 0", "select 'd' || cast(doc_id as string) as path, md5(case when doc_id % 9 = 0 then text || '!' else text end) as md5, case when doc_id % 9 = 0 then n_chars + 1 else n_chars end as bytes from {documents} where doc_id % 43 <> 0"
+query("manifest_diff", lambda t: identity.manifest_diff(t.rows(MANIFEST[0]), t.rows(MANIFEST[1])), f"SELECT coalesce(o.path, n.path) AS path, CASE WHEN o.md5 IS NULL THEN 'added' WHEN n.md5 IS NULL THEN 'removed' WHEN o.md5 <> n.md5 THEN 'changed' ELSE 'same' END AS change, coalesce(n.bytes, 0) - coalesce(o.bytes, 0) AS delta FROM ({MANIFEST[0]}) o FULL JOIN ({MANIFEST[1]}) n ON o.path = n.path")
 query("fingerprint", lambda t: identity.scan_fingerprint(t.scan_old), f"SELECT {X.sql_row_fingerprint('name', 'md5')} AS fingerprint FROM {{scan_old}}")
 query("index_datasets", lambda t: t.datasets.join(t.series.groupBy(F.col("dataset_id").alias("datasetId")).agg(F.count("*").alias("n_ts")), "datasetId", "left").select("datasetId", "dataSetName", "file", "parse_error", F.coalesce("n_ts", F.lit(0)).alias("n_ts")), "SELECT d.datasetId, d.dataSetName, d.file, d.parse_error, coalesce(s.n, 0) AS n_ts FROM {datasets} d LEFT JOIN (SELECT dataset_id, count(*) AS n FROM {series} GROUP BY 1) s ON d.datasetId = s.dataset_id")
 query("index_timeseries", lambda t: t.series.select("tsid", "dataset_id", "variable", F.array_join(F.filter("compilations", lambda x: x.isNotNull()), ",").alias("compilations")), "SELECT tsid, dataset_id, variable, array_to_string(list_filter(compilations, lambda x: x IS NOT NULL), ',') AS compilations FROM {series}")
