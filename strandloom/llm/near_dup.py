@@ -4,9 +4,10 @@
    and 64 one-byte minwise values. Documents with equal sets form a class, which goes on as one row.
 2. Trees. In each of TREES independent trees a class starts at the node of its minwise token. Nodes of one class end;
    nodes of up to NODE classes are compared exhaustively; larger nodes branch by further minwise values, chosen by the
-   node, early on by a second value too with the chance that keeps a pair at the threshold together on average, and
-   deeper by longer and longer runs of values. Below the first level a large node is also dealt to blocks that share
-   four of its members, which joins dense groups that branching tears apart. So every class is in a few small nodes of every tree, however large a group of copies is.
+   node, at first by a second value too with the chance that keeps a pair at the threshold together on average, and
+   deeper by longer and longer runs of values. Large nodes of the first trees are once also dealt to blocks that share
+   four of their members, which joins dense groups that branching tears apart; so are nodes that no value splits. So
+   every class is in a few small nodes of every tree, however large a group of copies is.
 3. Candidates. Inside a node, pairs whose one-byte values agree enough and whose set sizes allow the threshold join up to
    groups. Equal groups from several trees are kept once.
 4. Links. Groups get their members' full sets, and a member is compared with another only while no verified chain of
@@ -31,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import row_blocks, staged
+from strandloom.llm.common import bounded, row_blocks, staged
 from strandloom.llm.components import components
 
-TREES, VALUES, NODE, LEVELS = 16, 64, 512, (1, 2, 3, 6, 14, 34)
+TREES, VALUES, NODE, LEVELS = 14, 64, 768, (1, 2, 3, 6, 14, 34)
 ROUNDS = ((0, 1), (2, TREES - 1))
+#: The level at which large nodes of the first trees are dealt to blocks, as well as branched.
+DEALT = 1
 #: Standard errors of the estimate by which a pair may miss the threshold and still be verified.
 SLACK = 3.5
 
@@ -120,7 +123,7 @@ def sketches(df: DataFrame, width: int) -> DataFrame:
             columns = [block.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(paths, pa.list_(pa.int64())), pa.array(sigs, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return df.mapInArrow(run, "doc_id long, n_shingles long, key binary, paths array<long>, sig binary")
+    return df.transform(bounded).mapInArrow(run, "doc_id long, n_shingles long, key binary, paths array<long>, sig binary")
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
@@ -187,7 +190,7 @@ def tree_nodes(classes: DataFrame, low: int, high: int) -> DataFrame:
         big = hit.where(F.col("n") > NODE)
         if sizes.where(F.col("n") > NODE).isEmpty():
             break
-        if level:
+        if level == DEALT and not low or level == len(LEVELS):
             blocks = F.ceil(F.col("n") / (NODE // 2))
             hub = ranks[0].isin(F.col("end00"), F.col("end01")) | ranks[1].isin(F.col("end10"), F.col("end11"))
             own = F.when(hub, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", "path"), blocks)))
@@ -197,7 +200,7 @@ def tree_nodes(classes: DataFrame, low: int, high: int) -> DataFrame:
         twice = F.concat("sig", "sig")
         at = lambda salt: F.pmod(F.xxhash64("path", F.lit(salt)), F.lit(VALUES)).cast("int") + 1
         child = lambda salt: F.xxhash64("path", F.lit(salt), F.substring(twice, at(salt), F.lit(LEVELS[level])))
-        again = (F.pmod(F.xxhash64("path", F.lit(99)), F.lit(100)) < 25) & F.lit(level < 2)
+        again = (F.pmod(F.xxhash64("path", F.lit(99)), F.lit(100)) < 25) & F.lit(level < 1)
         paths = F.when(again, F.array(child(1), child(2))).otherwise(F.array(child(1)))
         current = big.join(classes.select("node", "sig"), "node").select("node", "label", "tree", F.explode(paths).alias("path"))
     return leaves
@@ -223,7 +226,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
         new_sets = staged(_sets(slim.join(reps, "doc_id", "left_semi"), width), "sets")
         full_sets = new_sets if full_sets is None else full_sets.union(new_sets)
         placed = groups.join(full_sets, "node").repartition("gid").sortWithinPartitions("gid").select("gid", "node", "label", "vals")
-        found = staged(placed.mapInArrow(_verifier(percent), "a long, b long"), "verified", slim=True)
+        found = staged(placed.transform(bounded).mapInArrow(_verifier(percent), "a long, b long"), "verified")
         links = found if links is None else links.union(found)
         labels = staged(components(links), "labels", slim=True)
 
@@ -252,7 +255,7 @@ def _groups(classes: DataFrame, low: int, high: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["gid", "node", "label"])
 
     ordered = leaves.repartition("path").sortWithinPartitions("path").select("path", "node", "label", "n", "sig")
-    return staged(ordered.mapInArrow(candidates, "gid long, node long, label long").distinct(), "groups", slim=True)
+    return staged(ordered.transform(bounded).mapInArrow(candidates, "gid long, node long, label long").distinct(), "groups", slim=True)
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
@@ -263,7 +266,7 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
             made = [s for s in shingle_sets(block.column("text").to_pylist(), width) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in made], pa.binary()), pa.array([s.tobytes() for s in made], pa.binary())], ["key", "vals"])
 
-    return texts.mapInArrow(run, "key binary, vals binary").select(F.xxhash64("key").alias("node"), "vals")
+    return texts.transform(bounded).mapInArrow(run, "key binary, vals binary").select(F.xxhash64("key").alias("node"), "vals")
 
 
 def _verifier(percent: int):

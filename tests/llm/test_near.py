@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from strandloom.llm import components, lattice, near_dup
+from strandloom.llm import common, components, lattice, near_dup
 
 WHITE = " \t\n\r\x0b\x0c"
 
@@ -152,3 +152,9 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert not any("@host" in t for t in texts_of("personal_data")) and any("[EMAIL]" in t for t in texts_of("personal_data"))
     assert len(seen["byte_bpe"]) == len(seen["source_mix"]) > 0 and all(r.token_ids for r in seen["byte_bpe"] if r.doc_id != 400)
     assert corpus_pipeline.run(spark, folder).count() == len(seen["byte_bpe"])
+
+
+def test_staged_tables_can_be_released(spark):
+    common.release_staged(spark)
+    kept = common.staged(spark.range(3), "kept")
+    assert kept.count() == 3 and common.release_staged(spark) == 1 and common.release_staged(spark) == 0
