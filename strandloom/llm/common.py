@@ -12,8 +12,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom.functions.workers import importable
+from strandloom.sources.files import Folder
+
 #: Text handled at once inside a Python worker; bounds its memory whatever the Arrow batch holds.
 BLOCK_BYTES = 1 << 20
+_STAGED: list[str] = []
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -33,16 +37,34 @@ def work_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back, which cuts its lineage and survives lost executors.
 
-    A slim table, of a few numbers a row, is made by a quarter of the shuffle's tasks, as its partitions are small.
+    A slim table, of a few numbers a row, is made by an eighth of the shuffle's tasks, as its partitions are small.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/strandloom/{name}-{uuid.uuid4().hex}"
     if slim:
-        df = df.coalesce(max(1, shuffle_width(spark) // 4))
+        df = df.coalesce(max(2, shuffle_width(spark) // 8))
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_staged(spark: SparkSession) -> int:
+    """Delete the tables staged so far in this process, once nothing reads them any more. Returns how many there were."""
+    paths, _STAGED[:] = list(_STAGED), []
+    for path in paths:
+        Folder(spark, path).delete()
+    return len(paths)
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df, with small Arrow batches in its session where it has left the default: texts are long, and a worker and its JVM hold whole batches."""
+    importable(df.sparkSession)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key) == "10000":
+        df.sparkSession.conf.set(key, "1000")
+    return df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import crf
-from strandloom.llm.common import crc_of_id, hash_share, row_blocks
+from strandloom.llm.common import bounded, crc_of_id, hash_share, row_blocks
 
 SAMPLE, LONGEST, MOST_LABELS, HELD, FOLDS = 300, 8_000, 64, 2, 4
 
@@ -71,7 +71,7 @@ def predict(df: DataFrame, model: crf.ChainModel | None, doc_id: str = "doc_id",
             langs, scores = predict_texts(shared.value, block.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return slim.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return slim.transform(bounded).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import staged
+from strandloom.llm.common import bounded, staged
 from strandloom.llm.components import components
 
 TABLES, CELLS, SCALE, BLOCK, SEED = 14, 3, 1.0, 96, 8
@@ -115,7 +115,7 @@ def near_vectors(df: DataFrame, least: float = 0.95, vec_id: str = "vec_id", emb
             keys = [None if p is None else hashlib.blake2b(p, digest_size=16).digest() for p in packed]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], ["vec_id", "key", "unit"])
 
-    named = staged(slim.mapInArrow(keyed, "vec_id long, key binary, unit binary").withColumn("node", F.xxhash64("key")), "units")
+    named = staged(slim.transform(bounded).mapInArrow(keyed, "vec_id long, key binary, unit binary").withColumn("node", F.xxhash64("key")), "units")
     classes = staged(named.where("key is not null").groupBy("node").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("unit").alias("unit")), "classes")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def near_vectors(df: DataFrame, least: float = 0.95, vec_id: str = "vec_id", emb
                 home = np.tile(np.arange(CELLS) == 0, TABLES)
                 yield pa.RecordBatch.from_arrays([pa.array(flat.ravel()), pa.array(np.repeat([nodes[i] for i in own], flat.shape[1]), pa.int64()), pa.array(np.tile(home, len(own)))], ["cell", "node", "home"])
 
-    member = staged(classes.select("node", "unit").mapInArrow(placed, "cell long, node long, home boolean"), "cells")
+    member = staged(classes.select("node", "unit").transform(bounded).mapInArrow(placed, "cell long, node long, home boolean"), "cells")
     shared = staged(member.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("home")).where("n > 1 and home").select("cell", "n"), "shared")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node", "cell"), F.col("blocks")).cast("int")
@@ -176,7 +176,7 @@ def near_vectors(df: DataFrame, least: float = 0.95, vec_id: str = "vec_id", emb
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(nodes[at], pa.int64()), pa.array(nodes[lowest[at]], pa.int64()), pa.array(counts[at].astype(np.int64))], ["node", "root", "links"])
 
-    found = staged(full.mapInArrow(linked, "node long, root long, links long"), "linked")
+    found = staged(full.transform(bounded).mapInArrow(linked, "node long, root long, links long"), "linked")
     labels = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = classes.select("node", "rep", "copies").join(labels, "node", "left").join(counts, "node", "left").withColumn("label", F.coalesce("label", "node"))

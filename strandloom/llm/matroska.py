@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import row_blocks
+from strandloom.llm.common import bounded, row_blocks
 
 # Fixed values of the container format: element identifiers.
 EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
@@ -203,7 +203,7 @@ def packets(df: DataFrame, media: str = "media", key: str = "doc_id") -> DataFra
             kinds = [block.schema.field("key").type, pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
-    return slim.mapInArrow(run, f"key {kind}, track long, codec string, timestamp_ns long, byte_start long, byte_end long, keyframe boolean, error string")
+    return slim.transform(bounded).mapInArrow(run, f"key {kind}, track long, codec string, timestamp_ns long, byte_start long, byte_end long, keyframe boolean, error string")
 
 
 def payload_of(text: str | None) -> tuple[bytes, int]:
@@ -220,7 +220,7 @@ def store_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
             media = [write(payload_of(t)[0]) for t in block.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(media, pa.binary())], ["doc_id", "media"])
 
-    return slim.mapInArrow(run, "doc_id long, media binary")
+    return slim.transform(bounded).mapInArrow(run, "doc_id long, media binary")
 
 
 def media_digest(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -242,4 +242,4 @@ def media_digest(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 rows.append((key, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
-    return slim.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return slim.transform(bounded).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import hash_share, row_blocks
+from strandloom.llm.common import bounded, hash_share, row_blocks
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, FIT_CHARS, FIT_REGIONS, LONGEST, REACH, SURE = 400, 20_000, 700, 24, 64, 0.9
@@ -344,7 +344,7 @@ def report(docs: DataFrame, model: SegmentModel | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return slim.transform(bounded).mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def mask_text(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
@@ -379,4 +379,4 @@ def mask(docs: DataFrame, model: SegmentModel | None, text: str = "text", length
                 columns[n_at] = pa.array(counts, columns[n_at].type)
             yield pa.RecordBatch.from_arrays(columns, block.schema.names)
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+    return docs.transform(bounded).mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))

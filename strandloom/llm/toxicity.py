@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import crf
-from strandloom.llm.common import crc_of_id, hash_share, row_blocks
+from strandloom.llm.common import bounded, crc_of_id, hash_share, row_blocks
 
-SAMPLE, LONGEST, HELD, FOLDS = 1500, 20_000, 0, 5
+SAMPLE, LONGEST, HELD, FOLDS = 900, 10_000, 0, 5
 
 
 @dataclass
@@ -143,7 +143,7 @@ def score(df: DataFrame, model: ToxicityModel, text: str = "text", out: str = "s
             got = shared.value.scores(block.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*block.columns, pa.array(got, pa.float64())], [*block.schema.names, out])
 
-    return df.mapInArrow(run, fields)
+    return df.transform(bounded).mapInArrow(run, fields)
 
 
 def tag_spans(df: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -160,7 +160,7 @@ def tag_spans(df: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text:
             rows = [[{"start": a, "end": b, "score": s} for a, b, s in x] for x in found]
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(rows, span)], ["doc_id", "spans"])
 
-    return slim.mapInArrow(run, f"doc_id {kind}, spans array<struct<start: int, end: int, score: double>>")
+    return slim.transform(bounded).mapInArrow(run, f"doc_id {kind}, spans array<struct<start: int, end: int, score: double>>")
 
 
 def score_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
