@@ -23,13 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import ragged, row_blocks
+from strandloom.llm.common import bounded, ragged, row_blocks
 
 #: Pieces that one worker remembers; beyond that it starts afresh.
-CACHED_PIECES = 400_000
-_ODD_SPACE = re.compile(r" (?=\s|\Z)")
+CACHED_PIECES = 300_000
 _CUT = re.compile(r"(?= \S)")
-_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]?")
+_LATIN = re.compile(r"[\0\1]?[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]?")
 
 
 def byte_alphabet() -> list[str]:
@@ -96,7 +95,10 @@ class _Index(dict):
 
 
 class PieceEncoder:
-    """Encodes blocks of texts; a piece is a text's head, or a space with what follows it up to the next.
+    """Encodes blocks of texts; a piece is a text's head, or a space or line end with what follows it up to the next.
+
+    Lines of printable characters without double, leading or trailing spaces are cut at every space and line end; other
+    texts where a space meets a visible character. In the index a piece after a space stands without it, a head after "\\0" and one after a line end after "\\1".
 
     Pieces are remembered up to a bound; when it is met, the half that was asked for most often stays.
     """
@@ -133,26 +135,28 @@ class PieceEncoder:
         merges directly; others go through the whole tokenizer.
         """
         fresh, self.index.fresh = self.index.fresh, []
-        first, known = len(self.index) - len(fresh), self.index.get
-        tails = {c: self.whole([c])[0] for c in ".,"}
-        merge = self.tokenizer.model.tokenize
+        first = len(self.index) - len(fresh)
         ids: list = [None] * len(fresh)
-        rest: list[int] = []
-        for i, w in enumerate(fresh):
-            if _LATIN.fullmatch(w):
-                stem, tail = (w[:-1], w[-1]) if w[-1] in tails else (w, "")
-                at = known(stem) if tail else None
-                if at is not None and at < first:
-                    a = self.starts[at]
-                    own = self.flat[a : a + self.counts[at]].tolist()
-                elif at is not None and ids[at - first] is not None:
-                    own = ids[at - first]
-                else:
-                    own = [t.id for t in merge((" " + stem).encode().decode("latin-1").translate(self.spelling))]
-                ids[i] = own + tails[tail] if tail else own
+        plain = [i for i, w in enumerate(fresh) if _LATIN.fullmatch(w)]
+        heads, tails = {"\0": [], "\1": self.whole(["\n"])[0]}, {c: self.whole([c])[0] for c in ".,"}
+        bare = [fresh[i] if fresh[i][-1] not in tails else fresh[i][:-1] for i in plain]
+        spelled = "\n".join([" " + w if w[0] not in heads else w[1:] for w in bare]).encode().decode("latin-1").translate(self.spelling).split(self.spelling[10]) if bare else []
+        merge, starts, counts, flat, get = self.tokenizer.model.tokenize, self.starts, self.counts, self.flat, self.index.get
+        for i, stem, shown in zip(plain, bare, spelled, strict=True):
+            w = fresh[i]
+            at = get(stem) if stem is not w else None
+            if at is not None and at < first:
+                own = flat[starts[at] : starts[at] + counts[at]].tolist()
+            elif at is not None and ids[at - first] is not None:
+                own = ids[at - first]
             else:
-                rest.append(i)
-        for i, x in zip(rest, self.whole([fresh[i][1:] if fresh[i][:1] == "\0" else " " + fresh[i] for i in rest]), strict=True):
+                own = [t.id for t in merge(shown)]
+                if stem[0] in heads:
+                    own = heads[stem[0]] + own
+            ids[i] = own if stem is w else own + tails[w[-1]]
+        rest = [i for i, x in enumerate(ids) if x is None]
+        texts = [fresh[i][1:] if fresh[i][:1] == "\0" else "\n" + fresh[i][1:] if fresh[i][:1] == "\1" else " " + fresh[i] for i in rest]
+        for i, x in zip(rest, self.whole(texts), strict=True):
             ids[i] = x
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         need, n = self.used + int(sizes.sum()), len(self.index)
@@ -174,17 +178,14 @@ class PieceEncoder:
         apart: dict[int, np.ndarray] = {}
         for k, text in enumerate(texts):
             if text:
-                if "\0" in text:
+                lines = text.split("\n")
+                if "  " not in text and all(x.isprintable() and x and x[0] != " " and x[-1] != " " for x in lines):
+                    lines[0] = "\0" + lines[0]
+                    words.extend(" \1".join(lines).split(" "))
+                elif "\0" in text or "\1" in text:
                     apart[k] = np.array(self.whole([text])[0], dtype=np.int32)
-                elif _ODD_SPACE.search(text):
-                    words.extend(p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else "\0" + p for p in _CUT.split(text) if p)
                 else:
-                    pieces = text.split(" ")
-                    if pieces[0]:
-                        pieces[0] = "\0" + pieces[0]
-                        words.extend(pieces)
-                    else:
-                        words.extend(pieces[1:])
+                    words.extend(p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else "\0" + p for p in _CUT.split(text) if p)
             ends.append(len(words))
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.fresh:
@@ -247,7 +248,7 @@ def encode(df: DataFrame, path: str, pattern: str | None = None, text: str = "te
                 names += ["token_starts", "token_ends"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return df.mapInArrow(run, fields)
+    return df.transform(bounded).mapInArrow(run, fields)
 
 
 def decode(df: DataFrame, path: str, pattern: str | None = None, ids: str = "token_ids") -> DataFrame:
@@ -261,7 +262,7 @@ def decode(df: DataFrame, path: str, pattern: str | None = None, ids: str = "tok
             shown = [None if x is None else x.decode("utf-8", "replace") for x in raw]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary()), pa.array(shown, pa.string())], [*batch.schema.names, "decoded_bytes", "decoded_text"])
 
-    return df.mapInArrow(run, fields)
+    return df.transform(bounded).mapInArrow(run, fields)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -283,4 +284,4 @@ def round_trip(df: DataFrame, path: str, pattern: str | None = None, doc_id: str
                 decoded.append(hashlib.sha256(b"".join(map(table.__getitem__, own))).hexdigest())
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(counts, pa.int64()), pa.array(spelled, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return slim.transform(bounded).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

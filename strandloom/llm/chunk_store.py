@@ -28,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandloom.llm.bpe import encoder
-from strandloom.llm.common import row_blocks, shuffle_width, work_dir
+from strandloom.llm.bpe import _ENCODERS, encoder
+from strandloom.llm.common import bounded, row_blocks, shuffle_width, work_dir
 
 WINDOW, MASK, LEAST, MOST, DIGEST = 8, (1 << 9) - 1, 64, 4096, 16
 #: Digests a task remembers, to store a chunk once for each task at most before the shuffle.
@@ -88,24 +88,37 @@ def _times(matrix: list[int], vector: int) -> int:
 
 
 _ZEROS: list[list[int]] = []
+_TABLES: dict[int, np.ndarray] = {}
 
 
-def crc_joined(first: int, second: int, length: int) -> int:
-    """crc32 of two byte strings set end to end, from their crc32 and the length of the second."""
+def _shift_tables(k: int) -> np.ndarray:
+    """For each of a crc's four bytes, what 2**k zero bytes after it make of that byte."""
     if not _ZEROS:
-        step = [0xEDB88320, *(1 << k for k in range(31))]  # one zero bit
+        step = [0xEDB88320, *(1 << i for i in range(31))]  # one zero bit
         for _ in range(3):
             step = [_times(step, column) for column in step]
         _ZEROS.append(step)  # one zero byte
+    while len(_ZEROS) <= k:
+        _ZEROS.append([_times(_ZEROS[-1], column) for column in _ZEROS[-1]])
+    if k not in _TABLES:
+        _TABLES[k] = np.array([[_times(_ZEROS[k], v << 8 * byte) for v in range(256)] for byte in range(4)], np.uint32)
+    return _TABLES[k]
+
+
+def crcs_joined(crcs: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """crc32 of byte strings set end to end, counts of them for each result, from their crc32 and sizes."""
+    ends = np.cumsum(sizes)
+    last = np.cumsum(counts)
+    after = np.repeat(np.concatenate([[0], ends])[last], counts) - ends  # bytes behind each string in its own result
+    moved = crcs.astype(np.uint32)
     k = 0
-    while length:
-        if k == len(_ZEROS):
-            _ZEROS.append([_times(_ZEROS[-1], column) for column in _ZEROS[-1]])
-        if length & 1:
-            first = _times(_ZEROS[k], first)
-        length >>= 1
+    while (after >> k).any():
+        at = np.flatnonzero(after >> k & 1)
+        t, v = _shift_tables(k), moved[at]
+        moved[at] = t[0][v & 255] ^ t[1][v >> 8 & 255] ^ t[2][v >> 16 & 255] ^ t[3][v >> 24]
         k += 1
-    return first ^ second
+    sums = np.concatenate([[0], np.bitwise_xor.accumulate(moved)]).astype(np.uint32)
+    return sums[last] ^ sums[last - counts]
 
 
 def write_store(df: DataFrame, folder: str, vocabulary: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -141,12 +154,13 @@ def write_store(df: DataFrame, folder: str, vocabulary: str, end_id: int = 0, do
     spark = df.sparkSession
     fields = "kind int, key binary, doc_id long, n long, body binary, root binary"
     first = [F.first(c).alias(c) for c in ("doc_id", "n", "body", "root")]
-    once = slim.mapInArrow(run, fields).groupBy("kind", "key").agg(*first)  # a recipe's key is its own, a chunk's its digest
+    once = slim.transform(bounded).mapInArrow(run, fields).groupBy("kind", "key").agg(*first)  # a recipe's key is its own, a chunk's its digest
     once.write.partitionBy("kind").option("compression", "uncompressed").parquet(f"{folder}/chunks")
     read = spark.read.schema(fields).parquet(f"{folder}/chunks")
     recipes = read.where("kind = 0").select("doc_id", F.col("n").alias("n_tokens"), F.col("body").alias("digests"), "root")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _ENCODERS.clear()  # the texts are encoded; a reused worker has no use for its pieces
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             n = batch.column("n_tokens").to_numpy()
@@ -156,7 +170,7 @@ def write_store(df: DataFrame, folder: str, vocabulary: str, end_id: int = 0, do
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(n), part), pa.int32()), pa.array(sums - n, pa.int64())], [*batch.schema.names, "part", "before"])
 
     ordered = recipes.repartitionByRange(shuffle_width(spark), "doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(count, "doc_id long, n_tokens long, digests binary, root binary, part int, before long").write.parquet(f"{folder}/recipes")
+    ordered.transform(bounded).mapInArrow(count, "doc_id long, n_tokens long, digests binary, root binary, part int, before long").write.parquet(f"{folder}/recipes")
 
 
 def read_store(spark: SparkSession, folder: str) -> DataFrame:
@@ -177,7 +191,7 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
                 sums.append(zlib.crc32(raw))
             yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("n"), pa.array(sums, pa.int64())], ["digest", "n", "crc"])
 
-    sums = chunks.mapInArrow(checked, "digest binary, n long, crc long")
+    sums = chunks.transform(bounded).mapInArrow(checked, "digest binary, n long, crc long")
     steps = F.sequence(F.lit(0), F.expr(f"cast(length(digests) / {DIGEST} as int) - 1"))
     row = recipes.select("part", "before", F.posexplode(steps).alias("k", "at"), "digests").select("part", "before", "k", F.expr(f"substring(digests, at * {DIGEST} + 1, {DIGEST})").alias("digest"))
     parts = row.join(sums, "digest").groupBy("part", "before").agg(F.array_sort(F.collect_list(F.struct("k", "n", "crc", "digest"))).alias("pieces"))
@@ -187,18 +201,20 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
 
     def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = []
-            for pieces, n, root in zip(*(batch.column(c).to_pylist() for c in ("pieces", "n_tokens", "root")), strict=True):
-                crc = 0
-                for p in pieces or ():
-                    crc = crc_joined(crc, p["crc"], 4 * p["n"])
-                if sum(p["n"] for p in pieces or ()) != n or merkle_root([p["digest"] for p in pieces or ()]) != root:
-                    raise ValueError("a recipe differs from its root or count")
-                sums.append(crc)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(sums, pa.int64()), batch.column("root")], ["doc_id", "start", "n_tokens", "ids_crc32", "root"])
+            column = batch.column("pieces")
+            flat, counts = column.flatten(), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            n, last = flat.field("n").to_numpy(), np.cumsum(counts)
+            digests, ends = flat.field("digest").to_pylist(), np.concatenate([[0], np.cumsum(n)])
+            if (ends[last] - ends[last - counts] != batch.column("n_tokens").to_numpy()).any():
+                raise ValueError("a recipe differs from its count")
+            for i, root in enumerate(batch.column("root").to_pylist()):
+                if merkle_root(digests[last[i] - counts[i] : last[i]]) != root:
+                    raise ValueError("a recipe differs from its root")
+            sums = crcs_joined(flat.field("crc").to_numpy(), 4 * n, counts)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(sums.astype(np.int64)), batch.column("root")], ["doc_id", "start", "n_tokens", "ids_crc32", "root"])
 
     placed = whole.select("doc_id", (F.col("before") + F.col("shift")).alias("start"), "n_tokens", "root", "pieces")
-    return placed.mapInArrow(folded, "doc_id long, start long, n_tokens long, ids_crc32 long, root binary")
+    return placed.transform(bounded).mapInArrow(folded, "doc_id long, start long, n_tokens long, ids_crc32 long, root binary")
 
 
 def store_round_trip(df: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
