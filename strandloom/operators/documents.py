@@ -123,7 +123,8 @@ def ignore_paths(leaves: DataFrame, patterns: list[str]) -> DataFrame:
     return leaves.where(~F.coalesce(F.col("path").rlike("|".join(f"(?:{p})" for p in patterns)), F.lit(False)))
 
 
-VOLATILE = ("changelog", "lipdVersion", "createdBy", "datasetVersion", "dataSetVersion", "googleSpreadSheetKey", "md5", "tagMD5", "lastUpdated", "versionDate")
+# Fields that change on every run. A corpus that also stores a link to its own web site adds that field's name.
+VOLATILE = ("changelog", "tagMD5", "measurementTableMD5", "paleoMeasurementTableMD5", "dataMD5", "datasetVersion", "googleMetadataWorksheet", "googleSpreadSheetKey", "googleWorkSheetKey")
 
 
 def changelog_diff(old: DataFrame, new: DataFrame, volatile=VOLATILE) -> DataFrame:

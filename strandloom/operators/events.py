@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from strandloom.functions.expr import blank, row_fingerprint
 
 KEYS = ("tsid", "field")
-SOURCES = ("sheet", "file", "merge", "seed", "retire", "manual")
+# Sources that existing logs name, and those that this engine writes.
+SOURCES = ("sheet", "lipd", "curator", "migration", "resolver", "vocab", "file", "merge", "seed", "retire", "manual")
 
 
 def ordered_log(log: DataFrame, file: str = "file") -> DataFrame:

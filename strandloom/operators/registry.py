@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from strandloom.functions.expr import blank
 
-ROLES = ("merged", "membership", "key", "csm", "synonym", "control", "unused", "delete")
+# Roles of fields.
+ROLES = ("merged", "membership", "csm", "csm_pending", "key", "synonym", "control", "unused", "delete")
 OWNERS = ("curator", "machine", "shared", "key")
 
 
