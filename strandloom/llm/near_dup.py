@@ -3,11 +3,11 @@
 1. Sketch. Each text becomes the set of its hashed word shingles, a digest of that set, one minwise token for each tree
    and 64 one-byte minwise values. Documents with equal sets form a class, which goes on as one row.
 2. Trees. In each of TREES independent trees a class starts at the node of its minwise token. Nodes of one class end;
-   nodes of up to NODE classes are compared exhaustively; larger nodes branch by further minwise values, chosen by the
-   node, at first by a second value too with the chance that keeps a pair at the threshold together on average, and
-   deeper by longer and longer runs of values. Large nodes of the first trees are once also dealt to blocks that share
-   four of their members, which joins dense groups that branching tears apart; so are nodes that no value splits. So
-   every class is in a few small nodes of every tree, however large a group of copies is.
+   nodes of up to NODE classes are compared exhaustively; larger nodes branch by runs of further minwise values, chosen
+   by the node, into as many children as keep a pair at the threshold together once on average at every level. Nodes
+   that are still large after the last level are compared exhaustively too, in pairs of blocks; so are, earlier, large
+   nodes with one label but for a few members. The first trees only join dense groups, so that the others meet them
+   joined: they branch less, and once deal large nodes to blocks that share four of their members.
 3. Candidates. Inside a node, pairs whose one-byte values agree enough and whose set sizes allow the threshold join up to
    groups. Equal groups from several trees are kept once.
 4. Links. Groups get their members' full sets, and a member is compared with another only while no verified chain of
@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 from strandloom.llm.common import bounded, row_blocks, staged
 from strandloom.llm.components import components
 
-TREES, VALUES, NODE, LEVELS = 14, 64, 768, (1, 2, 3, 6, 14, 34)
+TREES, VALUES, NODE = 14, 64, 768
+#: Lengths of the runs by which large nodes branch: in the first trees, one child or two; in the others, children enough for a pair at the threshold.
+FIRST_LEVELS, LEVELS = (1, 2, 3, 6, 14, 34), (1, 2, 3, 6)
 ROUNDS = ((0, 1), (2, TREES - 1))
 #: The level at which large nodes of the first trees are dealt to blocks, as well as branched.
 DEALT = 1
@@ -175,13 +177,40 @@ def candidate_groups(sigs: np.ndarray, sizes: np.ndarray, labels: np.ndarray, pe
     return [g for g in groups.values() if len(g) > 1]
 
 
-def tree_nodes(classes: DataFrame, low: int, high: int) -> DataFrame:
+def agreement(percent: int) -> float:
+    """The chance that a one-byte minwise value of two sets at the threshold agrees."""
+    t = percent / 100
+    return t + (1 - t) / 256
+
+
+def block_pairs(nodes: DataFrame) -> DataFrame:
+    """(tree, path, node) with a node for every two blocks of each given node, so that any two members meet. nodes: tree, path, node, n."""
+    blocks = F.ceil(F.col("n") / (NODE // 2)).cast("int")
+    own = nodes.withColumn("m", blocks).withColumn("b", F.pmod(F.xxhash64("node", "path"), F.col("m")).cast("int"))
+    met = own.select("tree", "path", "node", "b", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("o"))
+    return met.select("tree", F.xxhash64("path", F.least("b", "o"), F.greatest("b", "o"), F.lit("pair")).alias("path"), "node")
+
+
+def by_main_label(big: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Large nodes whose members all have one label but for a node's worth of others, as blocks of that label's members with all the others; and the rest."""
+    of_label = big.groupBy("path", "label").agg(F.count("*").alias("c"))
+    main = staged(of_label.groupBy("path").agg(F.max_by("label", "c").alias("main"), F.max("c").alias("most")), "mains", slim=True)
+    told = big.join(main, "path")
+    few = F.col("n") - F.col("most") <= NODE
+    blocks = F.ceil(F.col("most") / (NODE // 2)).cast("int")
+    own = F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("node", "path"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1))
+    ended = told.where(few).select("tree", "path", "node", F.explode(own).alias("b")).select("tree", F.xxhash64("path", "b", F.lit("star")).alias("path"), "node")
+    return ended, told.where(~few).drop("main", "most")
+
+
+def tree_nodes(classes: DataFrame, low: int, high: int, percent: int) -> DataFrame:
     """(tree, path, node) for the small nodes of trees low to high that hold different labels, and for blocks of large ones. classes: node, label, paths, sig."""
+    levels = LEVELS if low else FIRST_LEVELS
     pick = F.posexplode(F.slice("paths", low + 1, high - low + 1)).alias("k", "token")
     current = classes.select("node", "label", pick).select("node", "label", (F.col("k") + low).alias("tree"), F.xxhash64(F.col("k") + low, "token").alias("path"))
     ranks = [F.xxhash64("node", "tree", F.lit(k)) for k in (1, 2)]
     leaves = None
-    for level in range(len(LEVELS) + 1):
+    for level in range(len(levels) + 1):
         ends = [f(r).alias(f"end{i}{j}") for i, r in enumerate(ranks) for j, f in enumerate((F.min, F.max))]
         sizes = staged(current.groupBy("path").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), *ends).where("lo < hi"), "sizes", slim=True)
         hit = staged(current.join(sizes, "path"), "nodes", slim=True)
@@ -190,19 +219,27 @@ def tree_nodes(classes: DataFrame, low: int, high: int) -> DataFrame:
         big = hit.where(F.col("n") > NODE)
         if sizes.where(F.col("n") > NODE).isEmpty():
             break
-        if level == DEALT and not low or level == len(LEVELS):
+        if low:
+            ended, big = by_main_label(big)
+            leaves = leaves.union(ended)
+            if level == len(levels):
+                leaves = leaves.union(block_pairs(big))
+        elif level in (DEALT, len(levels)):
             blocks = F.ceil(F.col("n") / (NODE // 2))
             hub = ranks[0].isin(F.col("end00"), F.col("end01")) | ranks[1].isin(F.col("end10"), F.col("end11"))
             own = F.when(hub, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", "path"), blocks)))
             leaves = leaves.union(big.select("tree", "path", "node", F.explode(own).alias("block")).select("tree", F.xxhash64("path", "block", F.lit("block")).alias("path"), "node"))
-        if level == len(LEVELS):
+        if level == len(levels):
             break
         twice = F.concat("sig", "sig")
         at = lambda salt: F.pmod(F.xxhash64("path", F.lit(salt)), F.lit(VALUES)).cast("int") + 1
-        child = lambda salt: F.xxhash64("path", F.lit(salt), F.substring(twice, at(salt), F.lit(LEVELS[level])))
-        again = (F.pmod(F.xxhash64("path", F.lit(99)), F.lit(100)) < 25) & F.lit(level < 1)
-        paths = F.when(again, F.array(child(1), child(2))).otherwise(F.array(child(1)))
-        current = big.join(classes.select("node", "sig"), "node").select("node", "label", "tree", F.explode(paths).alias("path"))
+        child = lambda salt: F.xxhash64("path", F.lit(salt), F.substring(twice, at(salt), F.lit(levels[level])))
+        wanted = agreement(percent) ** -levels[level] if low or not level else 1.0
+        least, rest = divmod(round(10000 * wanted), 10000)
+        again = F.pmod(F.xxhash64("path", F.lit(99)), F.lit(10000)) < rest
+        always = [child(k + 1) for k in range(least)]
+        paths = F.when(again, F.array(*always, child(least + 1))).otherwise(F.array(*always))
+        current = staged(big.join(classes.select("node", "sig"), "node").select("node", "label", "tree", F.explode(paths).alias("path")), "branches", slim=True)
     return leaves
 
 
@@ -240,7 +277,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
 
 def _groups(classes: DataFrame, low: int, high: int, percent: int) -> DataFrame:
     """(gid, node, label) of the candidate groups in trees low to high; equal groups of several nodes once. classes: node, label, n, paths, sig."""
-    leaves = tree_nodes(classes.select("node", "label", "paths", "sig"), low, high).join(classes.select("node", "label", "n", "sig"), "node")
+    leaves = tree_nodes(classes.select("node", "label", "paths", "sig"), low, high, percent).join(classes.select("node", "label", "n", "sig"), "node")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _batched(grouped(batches, "path")):

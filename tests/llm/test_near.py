@@ -158,3 +158,26 @@ def test_staged_tables_can_be_released(spark):
     common.release_staged(spark)
     kept = common.staged(spark.range(3), "kept")
     assert kept.count() == 3 and common.release_staged(spark) == 1 and common.release_staged(spark) == 0
+
+
+def test_pairs_inside_large_families_are_found(spark, monkeypatch):
+    """Documents of one template, below the threshold with each other, in nodes that must branch: planted pairs at the threshold still meet."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 7)))
+    given = []
+    for shared in (128, 134):  # similarity within a family about 0.66 and 0.71
+        family = [word() for _ in range(shared)]
+        for k in range(800):
+            own = [word() for _ in range(160 - shared)]
+            given.append(" ".join([*family, *own]))
+            if k % 8 == 0:  # 17 of 156 shingles differ, which is 0.8035
+                given.append(" ".join([*family, *own[: 160 - shared - 17], *[word() for _ in range(17)]]))
+    monkeypatch.setattr(near_dup, "NODE", 16)
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(df, 5, 80).collect()}
+    sets = [shingles(t, 5) for t in given]
+    pairs = [(i, i + 1) for i in range(len(sets) - 1) if 100 * len(sets[i] & sets[i + 1]) >= 80 * len(sets[i] | sets[i + 1])]
+    found = sum(got[i] == got[j] for i, j in pairs)
+    print("planted pairs", len(pairs), "found", found)
+    assert len(pairs) >= 180 and found >= 0.98 * len(pairs)
+    assert len(set(got.values())) >= len(given) - len(pairs)
