@@ -109,6 +109,17 @@ query("jaccard_pairs", lambda t: dedupe.jaccard_pairs(t.lineitem.select(F.col("l
   SELECT p.id, p.id_b, round(k / CAST(x.n + y.n - k AS DOUBLE), 6) AS jaccard FROM p JOIN n x ON p.id = x.id JOIN n y ON p.id_b = y.id WHERE k / CAST(x.n + y.n - k AS DOUBLE) >= 0.5""")
 query("cross_conflicts", lambda t: dedupe.cross_conflicts(t.compilation_cells), f"""SELECT tsid, field, count(DISTINCT compilation) AS n_compilations, count(DISTINCT value) AS n_values, count(DISTINCT {PLAIN.format('value')}) AS n_plain, string_agg(DISTINCT value, ' | ' ORDER BY value) AS "values", CASE WHEN count(DISTINCT {PLAIN.format('value')}) = 1 THEN 'cosmetic' ELSE 'substantive' END AS kind FROM {{compilation_cells}} WHERE value <> '' GROUP BY 1, 2 HAVING count(DISTINCT compilation) > 1 AND count(DISTINCT value) > 1""")
 
+# -- the same operators over whole tables, beside the queries above whose SQL takes fixed ids ----------------------------
+query("offer_all", lambda t: documents.offer(t.rows(TAB), t.datasets), f"SELECT name, include FROM ({TAB}) UNION ALL SELECT name, NULL FROM {{datasets}} WHERE name NOT IN (SELECT name FROM ({TAB}))")
+query("haversine_pairs_all", lambda t: t.sites.alias("a").join(t.sites.alias("b"), F.col("a.name") == F.col("b.name")).where("a.id < b.id").select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b"), F.round(X.haversine_km("a.lat", "a.lon", "b.lat", "b.lon"), 4).alias("km")).union(t.sites.select("id", F.lit("origin"), F.round(X.haversine_km("lat", "lon", F.lit(0.0), F.lit(0.0)), 4))), f"SELECT a.id, b.id AS id_b, round({KM}, 4) AS km FROM {{sites}} a JOIN {{sites}} b ON a.name = b.name WHERE a.id < b.id UNION ALL SELECT id, 'origin', round({X.sql_haversine_km('lat', 'lon', '0.0::DOUBLE', '0.0::DOUBLE')}, 4) FROM {{sites}}")
+query("interval_overlap_all", lambda t: t.sites.alias("a").join(t.sites.alias("b"), F.col("a.name") == F.col("b.name")).where("a.id < b.id").select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b"), F.round(F.coalesce(dedupe.interval_overlap(F.col("a.first"), F.col("a.last"), F.col("b.first"), F.col("b.last")), F.lit(0.0)), 6).alias("overlap")), f"SELECT a.id, b.id AS id_b, round({OVER}, 6) AS overlap FROM {{sites}} a JOIN {{sites}} b ON a.name = b.name WHERE a.id < b.id")
+query("jaccard_pairs_all", lambda t: dedupe.jaccard_pairs(t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("item")), 0.5).withColumn("jaccard", F.round("jaccard", 6)), """WITH s AS (SELECT DISTINCT l_orderkey AS id, l_partkey AS item FROM lineitem), n AS (SELECT id, count(*) AS n FROM s GROUP BY id), p AS (SELECT a.id, b.id AS id_b, count(*) AS k FROM s a JOIN s b ON a.item = b.item AND a.id < b.id GROUP BY 1, 2)
+  SELECT p.id, p.id_b, round(k / CAST(x.n + y.n - k AS DOUBLE), 6) AS jaccard FROM p JOIN n x ON p.id = x.id JOIN n y ON p.id_b = y.id WHERE k / CAST(x.n + y.n - k AS DOUBLE) >= 0.5""")
+HASHED = "select distinct 'O' || cast(l_orderkey as string) as dataset_id, md5(cast(l_partkey as string)) as hash, l_orderkey from {lineitem}"
+query("duplicate_screen_all", lambda t: dedupe.duplicate_screen(t.rows(HASHED).where("l_orderkey % 4 = 0"), t.rows(HASHED).where("l_orderkey % 4 <> 0")).withColumn("containment", F.round("containment", 6)), f"""WITH h AS ({HASHED}), a AS (SELECT DISTINCT dataset_id, hash FROM h WHERE l_orderkey % 4 = 0), b AS (SELECT DISTINCT dataset_id, hash FROM h WHERE l_orderkey % 4 <> 0), na AS (SELECT dataset_id, count(*) AS n FROM a GROUP BY 1), nb AS (SELECT dataset_id, count(*) AS n FROM b GROUP BY 1),
+  s AS (SELECT a.dataset_id AS new_id, b.dataset_id AS old_id, count(*) AS n_shared FROM a JOIN b ON a.hash = b.hash GROUP BY 1, 2), x AS (SELECT s.*, n_shared / CAST(least(na.n, nb.n) AS DOUBLE) AS c FROM s JOIN na ON na.dataset_id = new_id JOIN nb ON nb.dataset_id = old_id)
+  SELECT new_id, old_id, n_shared, round(c, 6) AS containment, CASE WHEN c >= 0.999 THEN 'block' WHEN c >= 0.5 THEN 'review' ELSE 'note' END AS disposition FROM x""")
+
 # -- relational building blocks ---------------------------------------------------------------------------------------
 query("count_by", lambda t: t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n")), "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
 query("topk_fields", lambda t: relational.top_counts(t.lineitem, "l_partkey", 15), "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 15")
