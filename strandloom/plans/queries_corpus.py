@@ -143,6 +143,6 @@ query("semi_members", lambda t: t.customer.join(t.orders.where("o_totalprice > 4
 query("sources_pairing", lambda t: t.pages.select("page_id", F.regexp_extract("url", "^(.*)/", 1).alias("dir")).join(t.pages.where("page_id % 5 = 0").groupBy(F.regexp_extract("url", "^(.*)/", 1).alias("dir")).agg(F.count("*").alias("n_beside")), "dir", "left").select("page_id", F.coalesce("n_beside", F.lit(0)).alias("n_beside")), "SELECT page_id, coalesce(n, 0) AS n_beside FROM (SELECT page_id, regexp_extract(url, '^(.*)/', 1) AS dir FROM pages) p LEFT JOIN (SELECT regexp_extract(url, '^(.*)/', 1) AS dir, count(*) AS n FROM pages WHERE page_id % 5 = 0 GROUP BY 1) q ON p.dir = q.dir")
 
 # -- files that only code reads ---------------------------------------------------------------------------------------
-query("identity_extract", lambda t: archives.identities(archives.packed(t.documents.where("n_chars < 100000"))))
+query("identity_extract", lambda t: archives.identities(archives.packed(t.documents)))
 query("flatten_leaves", lambda t: archives.leaves(archives.packed(t.documents)))
 query("verify_staged", lambda t: archives.verify(archives.packed(t.documents)))

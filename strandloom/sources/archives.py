@@ -199,18 +199,26 @@ def verify(archives: DataFrame, least: int = 200) -> DataFrame:
 
 
 def packed(documents: DataFrame) -> DataFrame:
-    """Archives made from the driver's documents, to show the readers at work: some damaged, some small, some nameless."""
+    """Archives made from the driver's documents, to show the readers at work: some damaged, some small, some nameless.
+
+    A data member holds the whole text, a row for each piece of it, as the csv module reads no longer fields.
+    """
+
+    def pieces(text):
+        out = io.StringIO()
+        csv.writer(out, quoting=csv.QUOTE_ALL, lineterminator="\n").writerows([text[k : k + 32768]] for k in range(0, len(text), 32768))
+        return out.getvalue()
 
     def run(batches):
         for batch in batches:
             paths, contents = [], []
             for i, text, lang, source, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "lang", "source", "n_chars")), strict=True):
-                words = (text or "").split()[:40]
+                words = (text or "").split(None, 40)[:40]
                 meta = {"dataSetName": None if i % 23 == 0 else f"S{i}.Author.{1990 + i % 30}", "datasetId": f"ID{i}", "archiveType": lang, "changelog": [{"version": f"1.0.{i % 12}"}, {"version": "1.0.3"}], "geo": {"latitude": i % 90, "siteName": source} if i % 19 else None,
                         "pub": [{"author": [{"name": source}] if i % 17 else source, "title": " ".join(words[:5])}],
                         "paleoData": [{"measurementTable": [{"columns": [{"TSid": f"T{i}-{k}", "variableName": w, "values": [n, k], "inCompilation": [{"compilationName": source}]} for k, w in enumerate(words[: 1 + i % 3])]}]}]}
                 paths.append(f"/{i}.lpd")
-                contents.append(b"not a zip" if i % 29 == 0 else pack(meta, {"d.csv": "1,2\n3,4\n"}))
+                contents.append(b"not a zip" if i % 29 == 0 else pack(meta, {"d.csv": "1,2\n3,4\n", "text.csv": pieces(text or "")}))
             yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(contents, pa.binary())], ["path", "content"])
 
     return documents.select("doc_id", "text", "lang", "source", "n_chars").mapInArrow(run, "path string, content binary")
