@@ -139,7 +139,7 @@ query("review_read", lambda t: t.review.select(F.from_json(F.to_json(F.struct("v
 query("review_export", lambda t: t.vocab_input.groupBy("vocab_key", "value").agg(F.array_join(F.array_sort(F.collect_set("dataset_id")), "|").alias("datasets")), "SELECT vocab_key, value, string_agg(DISTINCT dataset_id, '|' ORDER BY dataset_id) AS datasets FROM {vocab_input} GROUP BY 1, 2")
 
 # -- text that no expression reads ------------------------------------------------------------------------------------
-query("mojibake", lambda t: t.documents.select("doc_id", T.repaired(F.decode(F.encode(F.substring("text", 1, 200), "UTF-8"), "ISO-8859-1")).alias("r")).select("doc_id", "r.*").where("encoding is not null"))
+query("mojibake", lambda t: t.documents.select("doc_id", T.repaired(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")).alias("r")).select("doc_id", "r.*").where("encoding is not null"))
 query("mojibake_cells", lambda t: t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("row", "line")).withColumn("r", T.repaired("line")).where("r.encoding is not null").select("doc_id", F.concat(X.column_letters(F.lit(2)), (F.col("row") + 2).cast("string")).alias("cell"), "r.repaired"))
 query("canonical_number", lambda t: t.customer.select("c_custkey", T.canonical_number("c_acctbal").alias("number")))
 query("text_nfc", lambda t: t.documents.select("doc_id", F.md5(T.nfc("text")).alias("md5")))
