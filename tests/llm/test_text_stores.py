@@ -202,6 +202,20 @@ def test_every_license_sentence_has_a_key_word():
     assert {w for p, _ in licenses.RULES for w in re.findall("[a-z0-9]+", p)} == set(licenses.SENTENCES.values())
 
 
+def test_licenses_whose_phrases_are_broken(spark):
+    warranty = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+    texts = ["This work is in the public\ndomain.", "All rights\nreserved.", "All  Rights\tReserved.", "This is free and unencumbered software released into the public\ndomain.", warranty]
+    got = {r.doc_id: (r.licenses, r.sentence_ids) for r in licenses.scan(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(5)] == [("public-domain", ""), ("all-rights-reserved", ""), ("all-rights-reserved", "reserved"), ("Unlicense", ""), ("", "mitwarranty")]
+
+
+def test_every_license_sentence_has_a_stem_inside_a_word():
+    import re
+
+    assert re.fullmatch("[a-z|]+", licenses.GATE.removeprefix("(?i)"))
+    assert all(re.search(licenses.GATE, s) for s in licenses.SENTENCES)
+
+
 def test_queries_are_registered():
     assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
     assert set(queries.ORACLES) <= set(queries.QUERIES)
