@@ -78,6 +78,41 @@ def test_repeated_null_and_missing_rows(spark):
     assert sorted(r.doc_id or -1 for r in near_dup.keep_one(df).collect()) == [-1, -1, 3, 7]
 
 
+def test_one_id_with_two_texts_keeps_the_unrelated_row(spark):
+    hot = "one two three four five six seven eight"
+    rows = [(3, hot, 1), (9, hot + "", 2), (9, "nothing like it at all in these other words", 3), (4, "", 4), (4, "", 4), (5, hot.upper(), 5), (3, "ONE TWO three four five six seven eight", 6), (8, "a b c d e f", 7), (8, "a b c d e f", 7)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, mark int")
+    got = sorted((r.doc_id, r.text, r.mark) for r in near_dup.keep_one(df).collect())
+    copies = [g for g in got if (g[1] or "").lower() == hot]
+    assert len(copies) == 1 and copies[0][0] == 3
+    assert [g for g in got if g not in copies] == [(4, "", 4), (4, "", 4), (8, "a b c d e f", 7), (9, "nothing like it at all in these other words", 3)]
+
+
+def test_groups_with_more_shingles_than_a_task_holds_are_cut_into_pairs_of_blocks():
+    sizes = {n: 10 + n for n in range(20)}
+    groups = list(near_dup.within(list(range(20)), sizes, held=100))
+    met = {(a, b) for g in groups for a in g for b in g if a < b}
+    assert len(met) == 190 and all(sum(sizes[n] for n in g) <= 100 for g in groups) and len(groups) > 1
+    assert list(near_dup.within([1, 2], sizes, held=100)) == [[1, 2]]
+
+
+def test_links_join_what_all_pairs_join():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 200 + 10 * (k % 9), replace=False), rng.integers(0, 1 << 60, 3 * (k % 5), dtype=np.uint64)])) for k in range(60)]
+    for labels in (list(range(60)), [k // 7 for k in range(60)]):
+        up = near_dup.Joined(60)
+        for i in range(60):
+            for j in range(i):
+                n = len(np.intersect1d(sets[i], sets[j]))
+                if labels[i] == labels[j] or 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                    up.join(i, j)
+        links, got = near_dup.links_within(list(range(60)), labels, sets, 80), near_dup.Joined(60)
+        for a, b in [*links, *((i, j) for i in range(60) for j in range(i) if labels[i] == labels[j])]:
+            got.join(a, b)
+        assert [got.root(i) for i in range(60)] == [up.root(i) for i in range(60)] and 1 < len({up.root(i) for i in range(60)}) < 60
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001), (5001, 5000), (7, 7)]
