@@ -6,7 +6,9 @@ encodes each different piece once per worker and assembles a document's ids from
 
 Defined results: a null text counts as empty and has no ids; an id outside the table is an error on decoding;
 a character split over several ids is whole again after decoding their bytes together, and a half of one decodes to
-U+FFFD in the text column while the bytes column keeps it.
+U+FFFD in the text column while the bytes column keeps it. A tokenizers file's added tokens in a text are taken as the
+library takes them, and decode to their own spelling; ranks with a pattern have none. Texts of any length are encoded
+whole. An empty table gives none; repeated rows repeat; an added column whose name exists already is an error.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from strandloom.llm.common import bounded, ragged, row_blocks
 
 #: Pieces that one worker remembers; beyond that it starts afresh.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 600_000
 _CUT = re.compile(r"(?= \S)")
 _LATIN = re.compile(r"[\0\1]?[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]?")
 
@@ -71,13 +73,16 @@ def tokenizer_from_ranks(ranks: dict[bytes, int], pattern: str):
 
 
 def bytes_of_ids(tokenizer) -> list[bytes | None]:
-    """Each id's bytes; None for added tokens and gaps."""
+    """Each id's bytes, those of its spelling for an added token; None for gaps."""
     back = {c: b for b, c in enumerate(byte_alphabet())}
     vocab = tokenizer.get_vocab(with_added_tokens=False)
     table: list[bytes | None] = [None] * (max(vocab.values(), default=-1) + 1)
     for token, i in vocab.items():
         if all(c in back for c in token):
             table[i] = bytes(back[c] for c in token)
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        table += [None] * (i + 1 - len(table))
+        table[i] = token.content.encode()
     return table
 
 
@@ -106,9 +111,10 @@ class PieceEncoder:
     def __init__(self, tokenizer, cached: int = CACHED_PIECES):
         self.tokenizer, self.cached = tokenizer, cached
         self.bytes = bytes_of_ids(tokenizer)
-        self.opens = np.array([bool(b) and b[:1] == b" " for b in self.bytes] + [False] * 1024)
+        self.opens = np.array([bool(b) and b[:1] == b" " for b in self.bytes], bool)
         chars = byte_alphabet()
         self.spelling = {b: chars[b] for b in range(256)}
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.index, self.used = _Index(), 0
         self.starts, self.counts, self.hits, self.flat = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 16, np.int32)
 
@@ -137,7 +143,8 @@ class PieceEncoder:
         fresh, self.index.fresh = self.index.fresh, []
         first = len(self.index) - len(fresh)
         ids: list = [None] * len(fresh)
-        plain = [i for i, w in enumerate(fresh) if _LATIN.fullmatch(w)]
+        match = _LATIN.fullmatch
+        plain = [i for i, w in enumerate(fresh) if w.isascii() and w.isalpha() or match(w)]
         heads, tails = {"\0": [], "\1": self.whole(["\n"])[0]}, {c: self.whole([c])[0] for c in ".,"}
         bare = [fresh[i] if fresh[i][-1] not in tails else fresh[i][:-1] for i in plain]
         spelled = "\n".join([" " + w if w[0] not in heads else w[1:] for w in bare]).encode().decode("latin-1").translate(self.spelling).split(self.spelling[10]) if bare else []
@@ -177,7 +184,9 @@ class PieceEncoder:
         ends: list[int] = []
         apart: dict[int, np.ndarray] = {}
         for k, text in enumerate(texts):
-            if text:
+            if text and any(a in text for a in self.added):
+                apart[k] = np.array(self.whole([text])[0], dtype=np.int32)
+            elif text:
                 lines = text.split("\n")
                 if "  " not in text and all(x.isprintable() and x and x[0] != " " and x[-1] != " " for x in lines):
                     lines[0] = "\0" + lines[0]
@@ -211,7 +220,6 @@ def encoder(path: str, pattern: str | None = None) -> PieceEncoder:
 
         if pattern is None:
             made = Tokenizer.from_file(path)
-            made.encode_special_tokens = True
         else:
             made = tokenizer_from_ranks(read_ranks(path), pattern)
         _ENCODERS[path, pattern] = PieceEncoder(made)
@@ -253,6 +261,9 @@ def encode(df: DataFrame, path: str, pattern: str | None = None, text: str = "te
 
 def decode(df: DataFrame, path: str, pattern: str | None = None, ids: str = "token_ids") -> DataFrame:
     """Add decoded_bytes and decoded_text for a column of ids; null ids stay null."""
+    clash = {"decoded_bytes", "decoded_text"} & set(df.columns)
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} exist already")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", decoded_bytes binary, decoded_text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,8 +4,9 @@ Each document's ids (with an end id) are cut where a rolling hash of the last id
 make equal chunks wherever they stand. A chunk is filed under the digest of its ids and stored once; a document is a
 recipe of digests with a Merkle root over them, and documents stand in ascending id order in range-partitioned files.
 
-Store layout under one folder: `chunks/kind=1` (key: the digest, n, body: zstd of the ids), `chunks/kind=0` (the recipes
-as they came), `recipes` (doc_id, n_tokens, digests, root, part, before) sorted by doc_id, part counting the files and
+Store layout under one folder: `chunks/kind=1` (key: the digest, n, body: zstd of the ids), `chunks/kind=0` (equal recipes
+once, with the number of copies; key: a digest of their id and root, so that a task that runs again, over rows in another
+order, makes the same keys), `recipes` (doc_id, n_tokens, digests, root, part, before) sorted by doc_id, part counting the files and
 before the ids earlier in the file. Texts are encoded once and chunks go through one shuffle, where each digest meets.
 
 Reading back decodes every stored chunk, checks it against its digest and takes its crc32; a document's crc32 comes
@@ -36,24 +37,38 @@ WINDOW, MASK, LEAST, MOST, DIGEST = 8, (1 << 9) - 1, 64, 4096, 16
 SEEN = 200_000
 
 
-def cut_points(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks of one stream: where the hash of the last WINDOW ids has its mask bits zero, within LEAST and MOST."""
+_BASE = 0x5851F42D4C957F2D
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The rolling hash's base, up to its n-th power, and its inverse."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(base))])) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return [p[:n] for p in _POWERS]
+
+
+def marks_of(ids: np.ndarray) -> np.ndarray:
+    """Positions after which the hash of the last WINDOW ids has its mask bits zero."""
     n = len(ids)
-    if n <= LEAST:
-        return [n] if n else []
     with np.errstate(over="ignore"):
         mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-        total = np.zeros(n, np.uint64)
-        for k in range(min(WINDOW, n)):
-            total[k:] += mixed[: n - k] * np.uint64(pow(0x5851F42D4C957F2D, k, 1 << 64))
-    marks = np.flatnonzero((total >> np.uint64(40)) & np.uint64(MASK) == 0) + 1
-    ends, last = [], 0
-    for m in [*marks.tolist(), n]:
+        up, down = _powers(n)
+        sums = np.cumsum(mixed * down)
+        sums[WINDOW:] -= sums[:-WINDOW].copy()
+        sums *= up
+    return np.flatnonzero((sums >> np.uint64(40)) & np.uint64(MASK) == 0) + 1
+
+
+def cut_points(marks: list[int], start: int, end: int) -> list[int]:
+    """Ends of the chunks of the stream from start to end: at marks, within LEAST and MOST."""
+    ends, last = [], start
+    for m in [*marks, end]:
         while m - last > MOST:
             last += MOST
             ends.append(last)
-        if m - last >= LEAST or m == n and m > last:
+        if m - last >= LEAST or m == end and m > last:
             ends.append(m)
             last = m
     return ends
@@ -128,36 +143,37 @@ def write_store(df: DataFrame, folder: str, vocabulary: str, end_id: int = 0, do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        enc, press, seen = encoder(vocabulary), zstandard.ZstdCompressor(level=3), set()
-        part, row = TaskContext.get().partitionId(), 0
+        enc, press, seen = encoder(vocabulary), zstandard.ZstdCompressor(level=1), set()
         names, kinds = ["kind", "key", "doc_id", "n", "body", "root"], (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         for block in row_blocks(batches, "text"):
             ids, bounds = enc.block(block.column("text").to_pylist())
-            rows: list[tuple] = []
-            for key, a, b in zip(block.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                stream = np.append(ids[a:b], end_id).astype("<u4")
-                last, digests = 0, []
-                for end in cut_points(stream):
-                    raw = stream[last:end].tobytes()
-                    digest = hashlib.blake2b(raw, digest_size=DIGEST).digest()
+            ids = np.insert(ids, bounds[1:], end_id).astype("<u4")  # each document's end id
+            bounds = bounds + np.arange(len(bounds))
+            marks = marks_of(ids)  # a mark within LEAST of a document's start, where the window reaches back, is no cut
+            own, rows = np.searchsorted(marks, bounds, side="right"), []
+            marks = marks.tolist()
+            for i, (key, a, b) in enumerate(zip(block.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                last, digests = a, []
+                for end in cut_points(marks[own[i] : own[i + 1]], a, b):
+                    digest = hashlib.blake2b(ids[last:end].tobytes(), digest_size=DIGEST).digest()
                     digests.append(digest)
                     if digest not in seen:
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(digest)
-                        rows.append((1, digest, None, end - last, press.compress(packed(stream[last:end])), None))
+                        rows.append((1, digest, None, end - last, press.compress(packed(ids[last:end])), None))
                     last = end
-                rows.append((0, part.to_bytes(8, "big") + row.to_bytes(8, "big"), key, len(stream), b"".join(digests), merkle_root(digests)))
-                row += 1
+                root = merkle_root(digests)
+                rows.append((0, hashlib.blake2b(repr(key).encode() + root, digest_size=DIGEST).digest(), key, b - a, b"".join(digests), root))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     spark = df.sparkSession
     fields = "kind int, key binary, doc_id long, n long, body binary, root binary"
     first = [F.first(c).alias(c) for c in ("doc_id", "n", "body", "root")]
-    once = slim.transform(bounded).mapInArrow(run, fields).groupBy("kind", "key").agg(*first)  # a recipe's key is its own, a chunk's its digest
+    once = slim.transform(bounded).mapInArrow(run, fields).groupBy("kind", "key").agg(*first, F.count("*").alias("copies"))
     once.write.partitionBy("kind").option("compression", "uncompressed").parquet(f"{folder}/chunks")
-    read = spark.read.schema(fields).parquet(f"{folder}/chunks")
-    recipes = read.where("kind = 0").select("doc_id", F.col("n").alias("n_tokens"), F.col("body").alias("digests"), "root")
+    read = spark.read.schema(fields + ", copies long").parquet(f"{folder}/chunks").where("kind = 0")
+    recipes = read.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc_id", F.col("n").alias("n_tokens"), F.col("body").alias("digests"), "root")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _ENCODERS.clear()  # the texts are encoded; a reused worker has no use for its pieces

@@ -71,7 +71,6 @@ def test_encode_and_decode_keep_columns_and_offsets(spark):
 def test_small_cache_gives_the_same_ids():
     path = P.path("byte_bpe_50k.json")
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
     tight, texts = bpe.PieceEncoder(made, cached=10), [t or "" for t in odd_texts()]
     for k in range(0, len(texts), 20):
         ids, bounds = tight.block(texts[k : k + 20])
@@ -83,7 +82,6 @@ def test_store_gives_back_every_stream(spark):
     texts = [*odd_texts(), "same words here " * 900, "same words here " * 900]
     path = P.path("byte_bpe_50k.json")
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
     df = spark.createDataFrame([(i * 3, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, start string").repartition(3)
     rows = {r.doc_id: r for r in chunk_store.store_round_trip(df, path).collect()}
     start = 0
@@ -95,13 +93,31 @@ def test_store_gives_back_every_stream(spark):
     assert chunk_store.store_round_trip(df.limit(0), path).count() == 0
 
 
+def test_special_tokens_and_repeated_rows_are_stored_as_the_library_gives_them(spark):
+    path = P.path("byte_bpe_50k.json")
+    made = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "a  <|endoftext|>  b\n<|endoftext|>", "<|endoftext|>", "<|endoftext", "x y " * 400]
+    assert made.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(4, texts[4]), (None, texts[4]), (None, None)], "doc_id long, text string").repartition(3)
+    rows = chunk_store.store_round_trip(df, path).collect()
+    assert len(rows) == 8 and len({(r.start) for r in rows}) == 8
+    for r in rows:
+        if r.doc_id is not None:
+            ids = [*made.encode(texts[r.doc_id], add_special_tokens=False).ids, 0]
+            assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    decoded = bpe.decode(bpe.encode(df.where("doc_id = 0"), path), path).first()
+    assert decoded.decoded_text == texts[0]
+    with pytest.raises(ValueError):
+        bpe.decode(df.selectExpr("array(1) as token_ids", "text as decoded_text"), path)
+
+
 def test_store_keeps_equal_chunks_once_and_finds_damage(spark, tmp_path):
     folder, text = f"file://{tmp_path}/store", "".join(chr(97 + i * i % 26) + " " * (i % 3 == 0) for i in range(9000))
     df = spark.createDataFrame([(i, text) for i in range(6)], "doc_id long, text string").repartition(3)
     chunk_store.write_store(df, folder, P.path("byte_bpe_50k.json"))
     chunks = spark.read.parquet(f"{folder}/chunks").where("kind = 1")
     assert chunks.count() == chunks.select("key").distinct().count() > 1
-    bad = chunks.selectExpr("unhex(concat('00', substring(hex(key), 3))) as key", "doc_id", "n", "body", "root", "kind")
+    bad = chunks.selectExpr("unhex(concat('00', substring(hex(key), 3))) as key", "doc_id", "n", "body", "root", "copies", "kind")
     rows = bad.collect()
     spark.createDataFrame(rows, bad.schema).write.mode("overwrite").partitionBy("kind").parquet(f"{folder}/chunks")
     with pytest.raises(Exception, match="differs"):
@@ -111,9 +127,19 @@ def test_store_keeps_equal_chunks_once_and_finds_damage(spark, tmp_path):
 def test_chunks_cut_alike_wherever_they_stand():
     rng = np.random.default_rng(1)
     ids = rng.integers(0, 50000, 20000)
-    ends = chunk_store.cut_points(ids)
+    cuts = lambda x: chunk_store.cut_points(chunk_store.marks_of(x).tolist(), 0, len(x))
+    ends = cuts(ids)
+    mask = np.uint64(chunk_store.MASK)
+    mixed = [int(i) * 0x9E3779B97F4A7C15 % 2**64 for i in ids]
+    mixed = [x ^ x >> 29 for x in mixed]
+    rolled = [sum(mixed[i - k] * pow(0x5851F42D4C957F2D, k, 2**64) for k in range(chunk_store.WINDOW)) % 2**64 for i in range(chunk_store.WINDOW, 3000)]
+    marked = set(chunk_store.marks_of(ids).tolist())
+    assert all((np.uint64(h >> 40) & mask == 0) == (i + 1 in marked) for i, h in enumerate(rolled, chunk_store.WINDOW))
+    two = np.concatenate([ids[:7000], [0], ids[:9000]])
+    split = chunk_store.marks_of(two).tolist()
+    assert [e - 7001 for e in chunk_store.cut_points([m for m in split if m > 7001], 7001, len(two))] == cuts(ids[:9000])
     assert ends[-1] == len(ids) and all(b - a <= chunk_store.MOST for a, b in zip([0, *ends], ends, strict=False))
-    moved = {e - 333 for e in chunk_store.cut_points(np.concatenate([rng.integers(0, 50000, 333), ids]))}
+    moved = {e - 333 for e in cuts(np.concatenate([rng.integers(0, 50000, 333), ids]))}
     assert len(moved & set(ends)) > 0.8 * len(ends)
     parts = [b"abc", b"", b"defgh" * 999, b"i", b"x"]
     joined = chunk_store.crcs_joined(np.array([zlib.crc32(p) for p in parts]), np.array([len(p) for p in parts]), np.array([3, 0, 2]))
