@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from strandloom.llm.common import bounded, staged
 from strandloom.llm.components import components
 
-TABLES, CELLS, SCALE, BLOCK, SEED = 14, 3, 1.0, 96, 8
+TABLES, CELLS, SCALE, BLOCK, SEED = 14, 3, 1.0, 1024, 8
+#: Pairs whose cells are compared at once.
+PAIRS = 1 << 15
 
 
 def nearest_points(x: np.ndarray, count: int) -> np.ndarray:
@@ -154,16 +156,21 @@ def near_vectors(df: DataFrame, least: float = 0.95, vec_id: str = "vec_id", emb
             return
         x = np.frombuffer(b"".join(units), np.float64).reshape(len(rows), -1)
         home = np.array([r["home"] for r in rows])
-        cross = rows[0]["i"] != rows[0]["j"]
+        cross, cells, found = rows[0]["i"] != rows[0]["j"], None, []
         a, b = np.nonzero(np.triu(x @ x.T >= least - 1e-9, 1))
         keep = (home[a] | home[b]) & ((side[a] != side[b]) if cross else True)
         a, b = a[keep], b[keep]
-        near = np.einsum("ij,ij->i", x[a], x[b]) >= least
-        a, b = a[near], b[near]
-        if not len(a):
+        for k in range(0, len(a), PAIRS):
+            p, q = a[k : k + PAIRS], b[k : k + PAIRS]
+            near = np.einsum("ij,ij->i", x[p], x[q]) >= least
+            p, q = p[near], q[near]
+            if len(p):
+                cells = cells_of(x) if cells is None else cells
+                first = first_meeting(cells, rows[0]["cell"], (p, q))
+                found.append((p[first], q[first]))
+        if not found:
             return
-        first = first_meeting(cells_of(x), rows[0]["cell"], (a, b))
-        a, b = a[first], b[first]
+        a, b = (np.concatenate(side_) for side_ in zip(*found, strict=True))
         copies, nodes = np.array([r["copies"] for r in rows]), np.array([r["node"] for r in rows])
         counts = np.bincount(a, weights=copies[b], minlength=len(rows)) + np.bincount(b, weights=copies[a], minlength=len(rows))
         lowest = np.arange(len(rows))

@@ -154,7 +154,8 @@ def test_vector_links_are_those_of_all_pairs(spark):
     assert sum(abs(got[i].n_links - counts[i]) for i in range(n)) <= 0.01 * counts.sum(), wrong
     assert all(got[i].n_links <= counts[i] for i in range(n))
     truth = classes_by_pairs([set(np.flatnonzero(r).tolist()) | {-1 - i} for i, r in enumerate(linked)], 1)
-    del truth
+    same = [got[i].component_id == truth[i] and got[i].kept == (truth[i] == i) for i in range(n)]
+    assert sum(same) >= 0.99 * n, [i for i in range(n) if not same[i]]
     assert all(got[i].component_id == i and got[i].kept and got[i].n_links == 0 for i in range(n, n + 6))
     assert lattice.near_vectors(df.limit(0)).count() == 0
 
