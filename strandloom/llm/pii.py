@@ -6,12 +6,16 @@ runs of digits, runs of letters and single other characters, and a segment of up
 (shape, lengths, checks, neighbours). Dynamic programming over segments, with transitions between kinds, chooses
 boundaries and kinds together; a segment is added if its marginal is at least SURE and no base span meets it.
 
-Fitted on the driver on regions of at most SAMPLE documents (by a hash of the id, no longer than FIT_CHARS), with base
-spans as truth and some features left out at random, so that no single cue decides. Detection reads whole texts.
-
-Defined results: null and empty texts have no spans; without regions to fit on, only base spans are found; positions
-count code points, the end is exclusive; spans of different kinds may overlap, those of one kind don't; repeated rows
-repeat. n_email and the like count base spans; `spans` holds base and added ones.
+Fitted on the driver with some features left out at random, so that no single cue decides: on regions of at most SAMPLE
+documents with triggers (by a hash of the id, no longer than FIT_CHARS), with base spans as truth, and on TAUGHT made
+examples of what the base patterns drop, such as telephone numbers without a country code, cards with points, and
+addresses with brackets around their signs, among dates, amounts, serial numbers and failed cards that are none.
+Detection reads whole texts, long regions in windows that overlap by REACH characters.
+
+Defined results: null and empty texts have no spans; positions count code points, the end is exclusive; base spans of
+different kinds may overlap, those of one kind don't, and no added span meets another span; texts of any length are read
+whole, in linear time; repeated rows repeat; an empty table gives no rows. n_email and the like count base spans; `spans`
+holds base and added ones. Only doc_id and text are read; mask keeps every other column, whatever its name.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 from strandloom.llm.common import bounded, hash_share, row_blocks
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, FIT_CHARS, FIT_REGIONS, LONGEST, REACH, SURE = 400, 20_000, 700, 24, 64, 0.9
+SAMPLE, FIT_CHARS, FIT_REGIONS, TAUGHT, LONGEST, REACH, SURE = 400, 20_000, 700, 700, 24, 64, 0.9
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
@@ -102,7 +106,8 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
 def _shape_features(span: str) -> tuple[str, ...]:
     digits = "".join(c for c in span if c.isascii() and c.isdigit())
     shape = re.sub(r"[0-9]+", "9", re.sub(r"[A-Za-z]+", "a", span))
-    out = [f"shape {shape[:40]}", f"digits {min(len(digits), 20)}", f"dots {min(span.count('.'), 4)}", f"ats {min(span.count('@'), 2)}", f"first {shape[:1]}", f"last {shape[-1:]}", f"letters {'a' in shape}", f"length {min(len(span) // 4, 8)}"]
+    groups = ",".join(str(len(g)) for g in re.findall("[0-9]+", span)[:6])
+    out = [f"shape {shape[:40]}", f"groups {groups}", f"digits {min(len(digits), 20)}", f"dots {min(span.count('.'), 4)}", f"ats {min(span.count('@'), 2)}", f"first {shape[:1]}", f"last {shape[-1:]}", f"letters {'a' in shape}", f"length {min(len(span) // 4, 8)}"]
     if digits and len(digits) >= 12 and luhn(digits):
         out.append("luhn")
     if re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", span):
@@ -205,57 +210,102 @@ class SegmentModel:
         return found, pairs
 
     def best(self, lattice: Lattice) -> list[tuple[int, int, int, float]]:
-        """The best joint choice: (segment, kind, ...) with each chosen segment's marginal."""
+        """The best joint choice: (start, end, kind) of each chosen segment with its marginal."""
+        if not lattice.segments:
+            return []
         k, n = len(KINDS) + 1, lattice.n
-        scores = [self.segment_scores(s[2]) for s in lattice.segments]
-        value, back = np.full((n + 1, k), -math.inf), {}
-        value[0, 0] = 0
+        scores = np.array([self.segment_scores(s[2]) for s in lattice.segments])
+        begins = np.array([s[0] for s in lattice.segments])
         ending: list[list[int]] = [[] for _ in range(n + 1)]
         for s, (_, j, _) in enumerate(lattice.segments):
             ending[j].append(s)
-        for j in range(1, n + 1):
-            ways = value[j - 1] + self.trans[:, 0]
-            value[j, 0], back[j, 0] = ways.max(), (j - 1, int(ways.argmax()), None)
-            for s in ending[j]:
-                i = lattice.segments[s][0]
-                for c in range(1, k):
-                    ways = value[i] + self.trans[:, c]
-                    got = ways.max() + scores[s][c - 1]
-                    if got > value[j, c]:
-                        value[j, c], back[j, c] = got, (i, int(ways.argmax()), s)
+        value, segment = np.full((n + 1, k), -math.inf), np.full((n + 1, k), -1)
+        ahead, before = np.empty((n + 1, k)), np.empty((n + 1, k), np.int64)  # the best way on from a place, by the next kind
+        value[0, 0] = 0
+        for j in range(n + 1):
+            if j:
+                value[j, 0] = ahead[j - 1, 0]
+                if ending[j]:
+                    own = np.array(ending[j])
+                    ways = ahead[begins[own], 1:] + scores[own]
+                    pick = ways.argmax(0)
+                    value[j, 1:], segment[j, 1:] = ways[pick, np.arange(k - 1)], own[pick]
+            ways = value[j][:, None] + self.trans
+            ahead[j], before[j] = ways.max(0), ways.argmax(0)
         at, c, chosen = n, int(value[n].argmax()), []
         while at:
-            i, before, s = back[at, c]
-            if s is not None:
-                chosen.append((s, c - 1))
-            at, c = i, before
+            if c:
+                chosen.append((int(segment[at, c]), c - 1))
+                i = int(begins[segment[at, c]])
+            else:
+                i = at - 1
+            at, c = i, int(before[i, c])
         if not chosen:
             return []
         found, _ = self.marginals(lattice)
         return [(lattice.bounds[lattice.segments[s][0]], lattice.bounds[lattice.segments[s][1]], c, float(found[s, c])) for s, c in reversed(chosen)]
 
 
-def fit_segments(texts: list[str], epochs: int = 4, rate: float = 0.2, drop: float = 0.25, seed: int = 3) -> SegmentModel | None:
-    """Learn from regions of the texts, with their base spans as truth."""
-    rng, cases = np.random.default_rng(seed), []
+def taught(rng: np.random.Generator) -> tuple[str, tuple[int, int, str] | None]:
+    """One made text and the span in it that the base patterns drop, or none."""
+    digits = lambda n: "".join(str(d) for d in rng.integers(0, 10, n))
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9)))
+    pick = lambda *x: x[rng.integers(len(x))]
+    area, mid, last = str(rng.integers(2, 10)) + digits(2), str(rng.integers(2, 10)) + digits(2), digits(4)
+    kind = pick("phone", "phone", "card", "email", "ip", "none", "none", "none")
+    if kind == "phone":
+        span = pick(f"({area}) {mid}-{last}", f"{area}-{mid}-{last}", f"{area}.{mid}.{last}", f"({area}){mid}-{last}", f"({area}) {mid} {last}")
+    elif kind == "card":
+        number = pick("4", "5") + digits(14)
+        number += next(c for c in "0123456789" if luhn(number + c))
+        span = pick(".", "--", "/").join(number[k : k + 4] for k in (0, 4, 8, 12))
+    elif kind == "email":
+        host = pick("org", "com", "net", "io")
+        span = pick(f"{word()}@{word()}[.]{host}", f"{word()}[@]{word()}.{host}", f"{word()}.{word()}(@){word()}.{host}", f"{word()}@{word()}(.){host}")
+    elif kind == "ip":
+        span = pick("[.]", "(.)").join(str(n) for n in rng.integers(0, 256, 4))
+    else:
+        card = digits(16)
+        card = card if not luhn(card) else card[:-1] + str((int(card[-1]) + 1) % 10)
+        span = pick(f"20{digits(2)}-0{1 + int(digits(1)) % 9}-1{digits(1)}", f"1{digits(1)}/0{digits(1)}/20{digits(2)}", f"20{digits(2)}-01-{digits(2)} 1{digits(1)}:{digits(2)}:{digits(2)}", f"{digits(3)},{digits(3)},{digits(3)}", f"{digits(7)}.{digits(2)}", f"978-{digits(1)}-{digits(4)}-{digits(4)}-{digits(1)}", card, " ".join(card[k : k + 4] for k in (0, 4, 8, 12)), digits(10), digits(8), f"{digits(2)}.{digits(6)}, -{digits(3)}.{digits(6)}", f"1.{digits(1)}.{digits(2)}.{digits(1)}.{digits(4)}", f"{word()}@{word()}", f"no-{digits(8)}", digits(5) + word() + digits(6) + word())
+    left = pick("", f"{word()} ", f"{word()} {digits(2)} ", f"{word()}: ", f"{word()} (", "\n")
+    text = left + span + pick("", ".", ",", f" {word()}", f" {word()} {digits(2)}", ")", "\n")
+    return text, None if kind == "none" else (len(left), len(left) + len(span), kind)
+
+
+def windows(a: int, b: int, size: int = 6 * REACH, step: int = 5 * REACH) -> Iterator[tuple[int, int]]:
+    """[a, b) in windows that overlap by REACH characters."""
+    while b - a > size:
+        yield a, a + size
+        a += step
+    if a < b:
+        yield a, b
+
+
+def fit_segments(texts: list[str], epochs: int = 4, rate: float = 0.2, drop: float = 0.25, seed: int = 3, made: int = TAUGHT) -> SegmentModel | None:
+    """Learn from regions of the texts, with their base spans as truth, and from made texts."""
+    rng, cases, extra = np.random.default_rng(seed), [], []
+
+    def case(text: str, spans: list[tuple[int, int, str]], a: int, b: int) -> list[tuple[Lattice, dict[int, int]]]:
+        lattice = Lattice(text, a, b)
+        at, index = {x: i for i, x in enumerate(lattice.bounds)}, {(i, j): s for s, (i, j, _) in enumerate(lattice.segments)}
+        truth, done = {}, 0
+        for x, y, kind in spans:
+            s = index.get((at.get(x), at.get(y)))
+            if s is not None and x >= done:
+                truth[s], done = KINDS.index(kind), y
+        return [(lattice, truth)] if lattice.segments else []
+
     for text in texts:
-        base = base_spans(text)
-        for a, b in regions(text):
-            if b - a > 400 or len(cases) >= 4 * FIT_REGIONS:
-                continue
-            lattice = Lattice(text, a, b)
-            at = {x: i for i, x in enumerate(lattice.bounds)}
-            truth, done = {}, 0
-            index = {(i, j): s for s, (i, j, _) in enumerate(lattice.segments)}
-            for x, y, kind in base:
-                s = index.get((at.get(x), at.get(y)))
-                if s is not None and x >= done:
-                    truth[s], done = KINDS.index(kind), y
-            if lattice.segments:
-                cases.append((lattice, truth))
+        if len(cases) < 4 * FIT_REGIONS:
+            base = base_spans(text)
+            cases += [c for a, b in regions(text) for x, y in windows(a, b) for c in case(text, base, x, y)]
+    for _ in range(made):
+        text, span = taught(rng)
+        extra += [c for a, b in regions(text) for c in case(text, [span] if span else base_spans(text), a, b)]
+    cases = [cases[i] for i in sorted(rng.permutation(len(cases))[:FIT_REGIONS])] + extra
     if not any(t for _, t in cases):
         return None
-    cases = [cases[i] for i in sorted(rng.permutation(len(cases))[:FIT_REGIONS])]
     model, squares = SegmentModel(), {}
     bias_sq, trans_sq = np.full(len(KINDS), 1e-2), np.full_like(model.trans, 1e-2)
     for _ in range(epochs):
@@ -300,14 +350,18 @@ def added_spans(text: str, base: list[tuple[int, int, str]], model: SegmentModel
             free.append((at, x))
             at = max(at, y)
         free.append((at, b))
-        for x, y in free:
-            for p in range(x, y, 4 * REACH):  # long regions in parts
-                q = min(y, p + 4 * REACH)
-                if sum(c.isdigit() for c in text[p:q]) < 7 and "@" not in text[p:q]:
-                    continue
-                lattice = Lattice(text, p, q)
-                if lattice.segments:
-                    out += [(i, j, KINDS[c]) for i, j, c, sure in model.best(lattice) if sure >= SURE]
+        found = []
+        for p, q in (w for x, y in free for w in windows(x, y)):
+            if sum(c.isdigit() for c in text[p:q]) < 4 and "@" not in text[p:q]:
+                continue  # no segment holds fewer
+            lattice = Lattice(text, p, q)
+            if lattice.segments:
+                found += [(-sure, i, j, c) for i, j, c, sure in model.best(lattice) if sure >= SURE]
+        own: list[tuple[int, int, str]] = []
+        for _, i, j, c in sorted(found):  # windows overlap, so the surer of two that meet stays
+            if all(j <= x or y <= i for x, y, _ in own):
+                own.append((i, j, KINDS[c]))
+        out += sorted(own)
     return out
 
 
@@ -319,10 +373,12 @@ def find(text: str | None, model: SegmentModel | None) -> tuple[list[tuple[int,
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> SegmentModel | None:
-    n = docs.count()
-    drawn = docs.where(hash_share("doc_id", 61) < 20 * sample / max(1, n)).where(F.length("text") <= FIT_CHARS).where(F.col("text").rlike(r"@|\+[0-9]|[0-9]{5}"))
-    rows = sorted({(r["doc_id"], r["text"]) for r in drawn.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()})
-    return fit_segments([r[1] for r in rows])
+    """Fit on about `sample` documents with triggers, by a hash of the id over all of them, at every size of the corpus."""
+    usable = docs.where(F.length("text") <= FIT_CHARS).where(F.col("text").rlike(r"@|\+[0-9]|[0-9]{5}"))
+    n = usable.count()
+    drawn = usable.where(hash_share("doc_id", 61) < 2 * sample / max(1, n)).select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = sorted({(r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in drawn.collect()})
+    return fit_segments([r[-1] for r in rows])
 
 
 def _digest(spans: list[tuple[int, int, str]]) -> str:

@@ -46,13 +46,14 @@ class ToxicityModel:
             np.maximum.at(top, text_of, p)
             np.add.at(total, text_of, np.where(p >= 0.2, p, 0))
             if spans:
-                hits = np.flatnonzero(p >= 0.5)
-                last = None
-                for i in hits.tolist():
+                last, of, opened = None, -1, np.zeros(0, np.int64)
+                for i in np.flatnonzero(p >= 0.5).tolist():
                     k, first, piece = held[words.piece[i]]
-                    raw = crf.lowered(piece).encode("utf-8", "surrogatepass")
-                    a, b = int(words.starts[i] - words.offsets[words.piece[i]]), int(words.ends[i] - words.offsets[words.piece[i]])
-                    a, b = (first + len(raw[:x].decode("utf-8", "surrogatepass")) for x in (a, b))
+                    if of != words.piece[i]:  # characters before each byte of the piece
+                        of = words.piece[i]
+                        raw = np.frombuffer(crf.lowered(piece).encode("utf-8", "surrogatepass"), np.uint8)
+                        opened = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+                    a, b = (first + int(opened[x - words.offsets[of]]) for x in (words.starts[i], words.ends[i]))
                     if last == (k, i - 1):
                         found[k][-1] = (found[k][-1][0], b, max(found[k][-1][2], float(p[i])))
                     else:
@@ -62,10 +63,13 @@ class ToxicityModel:
         return np.stack([np.log(clipped / (1 - clipped)), np.log1p(total)], 1), found
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
+        return self.scores_and_spans(texts, spans=False)[0]
+
+    def scores_and_spans(self, texts: list[str | None], spans: bool = True) -> tuple[np.ndarray, list]:
         if self.chain is None:
-            return np.full(len(texts), self.prior)
-        x, _ = self.features(texts)
-        return 1 / (1 + np.exp(-np.clip(x @ self.logistic[:-1] + self.logistic[-1], -30, 30)))
+            return np.full(len(texts), self.prior), [[] for _ in texts]
+        x, found = self.features(texts, spans)
+        return 1 / (1 + np.exp(-np.clip(x @ self.logistic[:-1] + self.logistic[-1], -30, 30))), found
 
 
 def _stems(word: bytes) -> list[bytes]:
@@ -164,7 +168,17 @@ def tag_spans(df: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text:
 
 
 def score_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted for every document."""
-    scored = score(docs.select("doc_id", "text"), fit(docs, labels))
+    """doc_id, held_out, score, predicted, spans for every document; spans are start:end of its offending runs of words, comma-joined."""
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    kind = slim.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in row_blocks(batches, "text"):
+            got, found = shared.value.scores_and_spans(block.column("text").to_pylist())
+            shown = [",".join(f"{a}:{b}" for a, b, _ in x) for x in found]
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(got, pa.float64()), pa.array(shown, pa.string())], ["doc_id", "score", "spans"])
+
+    scored = slim.transform(bounded).mapInArrow(run, f"doc_id {kind}, score double, spans string")
     held = F.coalesce(F.pmod(crc_of_id("doc_id"), F.lit(FOLDS)) == HELD, F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")

@@ -1,5 +1,6 @@
 """Toxicity, language and personal data: models against held-out labels and brute force, with odd rows."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -137,6 +138,20 @@ def test_segment_marginals_sum_over_all_segmentations():
 
     walk(0, 0, 1.0, [])
     assert np.allclose(model.marginals(lattice)[0], totals / whole, atol=1e-8)
+    ways = []
+
+    def best(at, last, score, used):
+        if at == lattice.n:
+            ways.append((score, used))
+            return
+        best(at + 1, 0, score + model.trans[last, 0], used)
+        for s, j, own in starts.get(at, ()):
+            for c in range(4):
+                best(j, c + 1, score + model.trans[last, c + 1] + own[c], [*used, (s, c)])
+
+    best(0, 0, 0.0, [])
+    at = lambda s: tuple(lattice.bounds[i] for i in lattice.segments[s][:2])
+    assert [x[:3] for x in model.best(lattice)] == [(*at(s), c) for s, c in max(ways, key=lambda w: w[0])[1]]
 
 
 def test_pii_report_and_mask(spark):
@@ -163,5 +178,49 @@ def test_model_adds_spans_that_patterns_miss():
     texts = [f"call +1 (212) 555-{rng.randint(1000, 9999)} now {rng.randint(10, 99)} items" for _ in range(300)]
     model = pii.fit_segments(texts)
     base, spans = pii.find("call (212) 555-1234 now or +1 (212) 555-9876 then", model)
-    assert set(base) <= set(spans) and len(base) == 1
+    assert set(base) <= set(spans) and len(base) == 1 and (5, 19, "phone") in spans
     assert all(not (a < y and x < b) for a, b, _ in set(spans) - set(base) for x, y, _ in base)
+    fresh, found, planted, wrong, decoys = np.random.default_rng(99), 0, 0, 0, 0
+    for _ in range(800):
+        text, span = pii.taught(fresh)
+        base, spans = pii.find(text, model)
+        if span:
+            planted += 1
+            found += span in spans
+        else:
+            decoys += 1
+            wrong += spans != base
+    print("planted", planted, "found", found, "decoys", decoys, "wrongly marked", wrong)
+    assert found >= 0.9 * planted and wrong <= 0.02 * decoys
+
+
+def test_added_spans_in_long_regions_are_found_wherever_they_lie():
+    model = pii.fit_segments([])
+    for n in range(60, 420, 7):
+        text = "-".join("ab1" for _ in range(n)) + " (212) 555-1234 end " + "x1" * n
+        start = text.index("(212)")
+        assert (start, start + 14, "phone") in pii.find(text, model)[1], n
+    assert pii.find("", model) == ([], []) and pii.find(None, model) == ([], [])
+    long = "word " * 200_000 + "(212) 555-1234 " + "1 " * 5_000
+    assert (1_000_000, 1_000_014, "phone") in pii.find(long, model)[1] or pii.find(long, model)[0] == []
+
+
+def test_base_digest_is_that_of_the_patterns(spark):
+    rng = random.Random(12)
+    parts = ["4111 1111 1111 1111", "+1 (212) 555-0100", "10.0.0.255", "a.b@c.d-e.com", " ", "\n", "7", "é", "x"]
+    texts = [None, "", *["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(200)], "w " * 100_000 + "q@r.st"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.report(df, pii.fit(df)).collect():
+        base = brute(texts[r.doc_id] or "")
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in base).encode()).hexdigest()
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[2] == k for s in base) for k in pii.KINDS)
+
+
+def test_toxicity_report_has_the_spans_of_the_tagger(spark):
+    docs, labels = corpus(400)
+    df = spark.createDataFrame([*docs, (8000, "é " * 70_000 + "grubblish", "aa", None, None)], SCHEMA)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    rows = {r.doc_id: r for r in toxicity.score_report(df, lab).collect()}
+    tagged = {r.doc_id: ",".join(f"{s['start']}:{s['end']}" for s in r.spans) for r in toxicity.tag_spans(df, toxicity.fit(df, lab)).collect()}
+    assert {k: r.spans for k, r in rows.items()} == tagged and sum(bool(r.spans) for r in rows.values()) >= 50
+    assert rows[8000].spans == "140000:140009"
