@@ -47,3 +47,9 @@ def number_text(value: float | None) -> str | None:
 @pandas_udf(StringType())
 def canonical_number(value: pd.Series) -> pd.Series:
     return value.map(lambda v: number_text(None if pd.isna(v) else float(v)))
+
+
+@pandas_udf(StringType())
+def six_digits(values: pd.Series) -> pd.Series:
+    """An array's numbers with six significant digits each, comma-joined; Spark's own formats round other digits."""
+    return values.map(lambda v: None if v is None else ",".join(f"{x:.6g}" for x in v))

@@ -71,12 +71,15 @@ def offer(tab: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def frame_cells(documents: DataFrame, registry: DataFrame) -> DataFrame:
-    """Cells of the documents' series for fields in the registry; dataset-wide values are repeated for each series; first row wins."""
-    rows = walk_columns(documents)
-    wide = rows.select("tsid", "dataset_id", "block_pos", "table_pos", "column_pos", F.col("name").alias("dataSetName"), F.col("variable").alias("paleoData_variableName"), F.col("units").alias("paleoData_units"), F.col("kind").alias("archiveType"))
+    """Cells of the paleo series' names and units for fields in the registry; the name is repeated for each series; first row wins.
+
+    For documents in this nested form only; sources/dataset_cells.py takes every field out of archives.
+    """
+    rows = walk_columns(documents).where("kind = 'paleo'")
+    wide = rows.select("tsid", "dataset_id", "block_pos", "table_pos", "column_pos", F.col("name").alias("dataSetName"), F.col("variable").alias("paleoData_variableName"), F.col("units").alias("paleoData_units"))
     first = Window.partitionBy("tsid").orderBy("block_pos", "table_pos", "column_pos", "dataset_id")
     once = wide.withColumn("_r", F.row_number().over(first)).where("_r = 1")
-    long = once.unpivot(["tsid", "dataset_id"], ["dataSetName", "paleoData_variableName", "paleoData_units", "archiveType"], "field", "value")
+    long = once.unpivot(["tsid", "dataset_id"], ["dataSetName", "paleoData_variableName", "paleoData_units"], "field", "value")
     return long.join(registry.select(F.col("qc_name").alias("field")).distinct(), "field", "left_semi").where(~blank("value")).select("tsid", "field", "value", "dataset_id")
 
 

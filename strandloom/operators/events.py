@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from strandloom.functions.expr import blank, row_fingerprint
 
 KEYS = ("tsid", "field")
-# Sources that existing logs name, and those that this engine writes.
-SOURCES = ("sheet", "lipd", "curator", "migration", "resolver", "vocab", "file", "merge", "seed", "retire", "manual")
+# Sources of events.
+SOURCES = ("sheet", "lipd", "curator", "migration", "resolver", "vocab")
 
 
 def ordered_log(log: DataFrame, file: str = "file") -> DataFrame:
@@ -70,16 +70,25 @@ def retire(state: DataFrame, tsids: DataFrame, reason: str) -> DataFrame:
     if not reason:
         raise ValueError("retiring needs a reason")
     gone = state.join(tsids.select("tsid").distinct(), "tsid", "left_semi")
-    return gone.select("tsid", "field", "dataset_id", F.col("value").alias("old_value"), F.lit(True).alias("old_present"), F.lit(None).cast("string").alias("new_value"), F.lit(False).alias("new_present"), F.lit("retire").alias("source"), F.lit(reason).alias("reason"))
+    return gone.select("tsid", "field", "dataset_id", F.col("value").alias("old_value"), F.lit(True).alias("old_present"), F.lit(None).cast("string").alias("new_value"), F.lit(False).alias("new_present"), F.lit("curator").alias("source"), F.lit(reason).alias("reason"))
 
 
 def stamp_batch(events: DataFrame, run_id: str, ts: str) -> DataFrame:
-    """Events ready to append: run id and time where missing, event_seq by series, field and time inside the batch.
+    """Events ready to append: run id and time where missing, and event_seq, unique in the batch.
 
-    Numbers come from ranges: partitions are sorted and counted, and only their counts meet.
+    A column `position`, the events' places in their input, becomes event_seq, so the later of two events of a cell wins.
+    Without it the numbers run from 1 through 256 parts of the series by a digest, and in each by series, field and value:
+    no part but a small share of a batch goes through one task, and only the parts' counts meet.
     """
     filled = events.withColumns({"run_id": F.coalesce("run_id", F.lit(run_id)), "ts": F.coalesce("ts", F.lit(ts))})
-    return filled.withColumn("event_seq", F.coalesce(F.col("event_seq"), F.row_number().over(Window.partitionBy("run_id", "tsid").orderBy("field")).cast("long")))
+    if "position" in events.columns:
+        return filled.withColumn("event_seq", F.coalesce("event_seq", F.col("position").cast("long"))).drop("position")
+    parted = filled.withColumn("_part", F.substring(F.md5(F.coalesce("tsid", F.lit(""))), 1, 2))
+    counts = parted.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # 256 rows at most
+    own = F.row_number().over(Window.partitionBy("_part").orderBy("tsid", "field", "new_value"))
+    numbered = parted.withColumn("_own", own).join(before, "_part")
+    return numbered.withColumn("event_seq", F.coalesce("event_seq", F.col("_before") + F.col("_own"))).drop("_part", "_own", "_before")
 
 
 def state_fingerprint(state: DataFrame) -> DataFrame:

@@ -36,6 +36,16 @@ def issue_summary(found: DataFrame) -> DataFrame:
     return found.groupBy("severity", "check").agg(F.count("*").alias("n")).withColumn("rank", rank).orderBy("rank", F.desc("n"), "check")
 
 
+def check_issues(found: DataFrame, path: str | None = None, what: str = "validation") -> DataFrame:
+    """found, unless it holds errors: then the whole report is written first, if a path is given, and the run stops."""
+    n = issue_counts(found).first()["n_error"]
+    if not n:
+        return found
+    if path is not None:
+        found.write.mode("error").option("header", True).csv(path)
+    raise ValueError(f"{what} found {n} errors" + (f"; the report is in {path}" if path else ""))
+
+
 def scan_fingerprint(scan: DataFrame) -> DataFrame:
     """One row over (name, md5) pairs, in any order and without times."""
     return scan.agg(row_fingerprint("name", "md5").alias("fingerprint"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions.expr import blank, equal_parts, number, with_parts
+from strandloom.operators.relational import first_per_key
 
 CLEAR = "<<CLEAR>>"
 KEYS = ("tsid", "field")
@@ -45,7 +46,9 @@ def merge_with_itself(state: DataFrame, registry: DataFrame, clear: str = CLEAR)
 
 
 def _resolved(tagged: DataFrame, registry: DataFrame, clear: str) -> DataFrame:
-    rules = registry.select(F.col("qc_name").alias("field"), "role", "ownership", "nullable")
+    order = [c for c in ("group_order", "role") if c in registry.columns]
+    first = first_per_key(registry, ["qc_name"], order)  # a doubled name must not double cells
+    rules = first.select(F.col("qc_name").alias("field"), "role", "ownership", "nullable")
     cells = _sides(tagged).join(rules, "field", "left").withColumns({"known": F.col("role").isNotNull(), "nullable": F.coalesce("nullable", F.lit(False))})
     cells = cells.where(~F.col("known") | F.col("role").isin(*IN_PLAY))
     b, s, f, key, machine = F.col("base"), F.col("sheet"), F.col("file"), F.coalesce(F.col("role") == "key", F.lit(False)), F.coalesce(F.col("ownership") == "machine", F.lit(False))
@@ -107,9 +110,11 @@ def drop_cells(cells: DataFrame, issues: DataFrame) -> DataFrame:
 
 def validate_values(cells: DataFrame, registry: DataFrame, ranges: dict[str, tuple[float, float]]) -> DataFrame:
     """Issues for cells whose field asks for a number they don't spell, or whose number is out of its field's range."""
-    typed = cells.join(registry.select(F.col("qc_name").alias("field"), "type"), "field").withColumn("n", number("value"))
+    order = [c for c in ("group_order", "role") if c in registry.columns]
+    types = first_per_key(registry, ["qc_name"], order).select(F.col("qc_name").alias("field"), "type")
+    typed = cells.join(types, "field", "left").withColumn("n", number("value"))  # ranges hold for unregistered fields, too
     outside = reduce(lambda a, b: a | b, [(F.col("field") == f) & ~F.col("n").between(low, high) for f, (low, high) in ranges.items()], F.lit(False))
-    check = F.when((F.col("type") == "number") & F.col("n").isNull(), "not_a_number").when(outside, "out_of_range")
+    check = F.when(F.col("type").isin("numeric", "number") & F.col("n").isNull(), "not_a_number").when(outside, "out_of_range")
     return typed.where(~blank("value")).withColumn("check", check).where("check is not null").select("check", F.lit("error").alias("severity"), "tsid", "field", "value")
 
 

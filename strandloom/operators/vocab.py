@@ -59,37 +59,52 @@ def apply_remap(rows: DataFrame, table: DataFrame, primary: str, second: str) ->
     return joined.withColumns(changed).drop("m").select(*rows.columns)
 
 
+# Names in vocabularies that stand for no term.
+PLACEHOLDERS = ("deleteMe", "needsToBeChanged", "deleteThisColumn", "changeMe", "TBD", "unknown")
+
+
 def distance_score(value, term):
-    """Edit distance by length, less for containing and for a shared beginning; small is close."""
+    """Edit distance by the longer length, less where one holds the other or they share a word's stem; small is close."""
     a, b = F.lower(value), F.lower(term)
-    far = F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
-    inside = a.contains(b) | b.contains(a)
-    stem = F.substring(a, 1, 4) == F.substring(b, 1, 4)
+    far = F.levenshtein(a, b) / F.greatest(F.length(value), F.length(term))
+    inside = a.contains(b) | b.contains(F.substring(a, 1, 40))
+    words = F.filter(F.split(a, "[^a-z0-9]+"), lambda w: F.length(w) >= 4)
+    stem = F.exists(words, lambda w: b.startswith(w) | w.startswith(F.substring(b, 1, 5)))
     return far - F.when(inside, 0.6).otherwise(0.0) - F.when(stem, 0.25).otherwise(0.0)
 
 
-def candidates(values: DataFrame, terms: DataFrame, n: int = 3) -> DataFrame:
-    """The n closest names for each distinct value of a key. Values meet the terms of their own key only.
+def candidates(values: DataFrame, vocab: DataFrame, n: int = 5) -> DataFrame:
+    """The names of the terms closest to each distinct value of a key: of the 3 n best spellings, names and synonyms alike, the first n names.
 
-    Terms are a vocabulary, so small; values are distinct unmatched ones. The equality on vocab_key makes it a hash join.
+    Placeholders are no answer, nor are synonyms of them. Values meet the terms of their own key only: the equality on
+    vocab_key makes it a hash join, vocabularies are small and values distinct unmatched ones. Ties go by listing.
     """
-    once = values.select("vocab_key", "value").distinct()
-    scored = once.join(terms.select("vocab_key", "name", F.coalesce("synonym", "name").alias("term")), "vocab_key").withColumn("score", distance_score(F.col("value"), F.col("term")))
-    best = scored.groupBy("vocab_key", "value", "name").agg(F.min("score").alias("score"))
-    w = Window.partitionBy("vocab_key", "value").orderBy("score", "name")
-    return best.withColumn("place", F.row_number().over(w).cast("long")).where(F.col("place") <= n)
+    forms = F.array(*[F.struct(F.lit(rank).alias("rank"), F.col(c).alias("term")) for rank, c in ((1, "name"), (2, "synonym"))])
+    spelled = vocab.select("vocab_key", "name", "place", F.inline(forms)).where(F.col("term").isNotNull() & ~F.col("term").isin(*PLACEHOLDERS))
+    terms = spelled.groupBy("vocab_key", "term").agg(F.min(F.struct("rank", "place", "name")).alias("at"))
+    scored = values.select("vocab_key", "value").distinct().join(terms, "vocab_key").withColumn("score", distance_score(F.col("value"), F.col("term")))
+    of_value = Window.partitionBy("vocab_key", "value")
+    best = scored.withColumn("_r", F.row_number().over(of_value.orderBy("score", "at.rank", "at.place"))).where(F.col("_r") <= 3 * n)
+    names = best.where(~F.col("at.name").isin(*PLACEHOLDERS)).groupBy("vocab_key", "value", F.col("at.name").alias("name")).agg(F.min(F.struct("_r", "score")).alias("b"))
+    placed = names.withColumn("place", F.row_number().over(of_value.orderBy("b._r")).cast("long"))
+    return placed.where(F.col("place") <= n).select("vocab_key", "value", "name", F.col("b.score").alias("score"), "place")
 
 
 def thesaurus_match(values: DataFrame, concepts: DataFrame, n: int = 3, weak: float = 0.45) -> DataFrame:
-    """Concepts close to values: exact label, alternative label, containing either way, or near by edit distance. concepts: id, label, alt (array)."""
-    a, b = F.lower("value"), F.lower("label")
-    alt = F.exists("alt", lambda x: F.lower(x) == F.lower(F.col("value")))
-    far = F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
-    rule = F.when(a == b, "exact").when(alt, "alt").when(b.contains(a), "contains").when(a.contains(b), "contained").otherwise("near")
-    gain = F.when(F.col("rule") == "exact", 10.0).when(F.col("rule") == "alt", 8.0).when(F.col("rule") == "contains", 1.2).when(F.col("rule") == "contained", 0.8).otherwise(0.0)
-    scored = values.select("vocab_key", "value").distinct().join(concepts, "vocab_key").withColumns({"rule": rule, "far": far}).withColumn("score", F.col("far") - gain)
-    w = Window.partitionBy("value").orderBy("score", "id")
-    return scored.where((F.col("rule") != "near") | (F.col("far") <= weak)).withColumn("place", F.row_number().over(w).cast("long")).where(F.col("place") <= n).select("value", "id", "label", "rule", "score", "place")
+    """Of each value's n closest concepts those that match at all: exact, altLabel, contains (either way) or similar. concepts: vocab_key, id, label, alt (array).
+
+    Only concepts of the value's key are tried. A label inside a value counts from four characters in more than five.
+    """
+    a, b = F.lower(trim_ws("value")), F.lower("label")
+    alts = F.transform(F.coalesce("alt", F.expr("cast(array() as array<string>)")), F.lower)
+    far = F.levenshtein(a, b) / F.greatest(F.length(b), F.length(a))
+    tests = {"exact": a == b, "in_alt": F.array_contains(alts, a), "holds": b.contains(a) | F.exists(alts, lambda x: x.contains(a)), "held": (F.length(a) > 5) & (F.length(b) > 3) & a.contains(b)}
+    met = values.select("vocab_key", "value").where(~blank("value")).distinct().join(concepts, "vocab_key").withColumns({"far": far, **{k: F.coalesce(t, F.lit(False)) for k, t in tests.items()}})
+    gain = sum((F.when(F.col(k), w).otherwise(0.0) for k, w in (("exact", 10.0), ("in_alt", 8.0), ("holds", 1.2), ("held", 0.8))), F.lit(0.0))
+    w = Window.partitionBy("vocab_key", "value").orderBy("score", "id")
+    best = met.withColumn("score", F.col("far") - gain).withColumn("place", F.row_number().over(w).cast("long")).where(F.col("place") <= n)
+    rule = F.when(F.col("exact"), "exact").when(F.col("in_alt"), "altLabel").when(F.col("holds") | F.col("held"), "contains").otherwise("similar")
+    return best.where(F.col("exact") | F.col("in_alt") | F.col("holds") | F.col("held") | (F.col("far") <= weak)).select("vocab_key", "value", "id", "label", rule.alias("rule"), "score", "place")
 
 
 def review_queue(found: DataFrame, decided: DataFrame) -> DataFrame:

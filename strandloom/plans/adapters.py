@@ -10,7 +10,7 @@ adapter("log", f"""select event_id, 'run' || cast(cast(floor(event_id / 1e3) as
   cast(floor(event_id / 1e3) as bigint) as append_seq, <ts> as ts, 'c' || cast(user_id % 3 as string) as compilation, 'T' || cast(user_id as string) as tsid,
   'D' || cast(user_id % 20 as string) as dataset_id, event_type as field, cast(null as string) as old_value, false as old_present,
   case when event_id % 10 <> 0 then {TEXT.format("value")} end as new_value, event_id % 10 <> 0 as new_present,
-  case when event_id % 3 = 0 then 'sheet' when event_id % 3 = 1 then 'file' else 'merge' end as source, 'a' || cast(user_id % 7 as string) as actor from {{events}}""")
+  case when event_id % 3 = 0 then 'sheet' when event_id % 3 = 1 then 'lipd' else 'curator' end as source, 'a' || cast(user_id % 7 as string) as actor from {{events}}""")
 adapter("base", f"""select 'C' || cast(c_custkey as string) as tsid, 'D' || cast(c_nationkey as string) as dataset_id, c_custkey as k, 'c_name' as field, c_name as value from {{customer}}
   union all select 'C' || cast(c_custkey as string), 'D' || cast(c_nationkey as string), c_custkey, 'c_mktsegment', c_mktsegment from {{customer}}
   union all select 'C' || cast(c_custkey as string), 'D' || cast(c_nationkey as string), c_custkey, 'c_acctbal', {TEXT.format("c_acctbal")} from {{customer}}
@@ -63,8 +63,9 @@ adapter("review", """select vocab_key, value, case when n % 4 = 0 then decision
   (select 'type' as vocab_key, p_name as value, min(p_partkey) as n, case when min(p_partkey) % 8 = 0 then 'synonym' when min(p_partkey) % 12 = 0 then 'new_term' else 'decompose' end as decision,
    case when min(p_partkey) % 16 = 0 then 'NOWHERE' else 'LARGE' end as target, case when min(p_partkey) % 20 = 0 then 'color' end as also_field, case when min(p_partkey) % 40 = 0 then 'red' end as also_value from {part} group by p_name, p_size) x""")
 adapter("sites", """select 'c' || cast(c_custkey as string) as id, (c_custkey * 37 % 18000) / 1e2 - 90 as lat, (c_custkey * 53 % 36000) / 1e2 - 180 as lon, c_mktsegment as name, 'n' || cast(c_nationkey % 3 as string) as kind,
-  cast(c_custkey % 1000 as double) as first, cast(c_custkey % 1000 + 10 + c_nationkey * 20 as double) as last from {customer}
-  union all select 's' || cast(s_suppkey as string), (s_suppkey * 370 % 18000) / 1e2 - 89.9e0, (s_suppkey * 530 % 36000) / 1e2 - 179.8e0, s_name, 'n' || cast(s_nationkey % 3 as string), cast(s_suppkey as double), cast(s_suppkey + 200 as double) from {supplier}""")
+  cast(c_custkey % 1000 as double) as first, cast(c_custkey % 1000 + 10 + c_nationkey * 20 as double) as last,
+  case when c_custkey % 3 = 0 then 'doi' || cast(c_nationkey % 4 as string) else '' end as doi, <array>('v' || cast(c_custkey % 3 as string), 'v' || cast(c_custkey % 5 as string), 'w') as vars, <array>('t' || cast(c_custkey % 700 as string)) as tsids from {customer}
+  union all select 's' || cast(s_suppkey as string), (s_suppkey * 370 % 18000) / 1e2 - 89.9e0, (s_suppkey * 530 % 36000) / 1e2 - 179.8e0, s_name, 'n' || cast(s_nationkey % 3 as string), cast(s_suppkey as double), cast(s_suppkey + 200 as double), 'doi1', <array>('v1', 'w'), <array>('u' || cast(s_suppkey as string)) from {supplier}""")
 adapter("order_hashes", """select distinct 'O' || cast(l_orderkey as string) as dataset_id, md5(cast(l_partkey % 300 as string)) as hash, l_orderkey from {lineitem}""")
 adapter("leaves_old", """select 'P' || cast(p_partkey % 50 as string) as dataset, case when p_partkey % 6 = 0 then cast(null as string) else 'T' || cast(p_partkey as string) end as tsid, 'p.' || cast(p_partkey as string) as path,
   case when p_partkey % 41 = 0 then cast(null as string) else p_name end as value from {part} where p_partkey % 37 <> 0""")

@@ -58,6 +58,14 @@ def path_from_env(name: str, default: str | None = None) -> str:
     return value
 
 
+def actor() -> str:
+    """Who acts: STRANDLOOM_ACTOR, else the login name, else unknown."""
+    for name in ("STRANDLOOM_ACTOR", "USER", "LOGNAME"):
+        if os.environ.get(name, "").strip():
+            return os.environ[name].strip()
+    return "unknown"
+
+
 def now_utc() -> str:
     return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 

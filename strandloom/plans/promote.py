@@ -6,6 +6,7 @@ import json
 import unicodedata
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from strandloom.sources import archives
 from strandloom.sources.files import Folder
@@ -76,6 +77,28 @@ class Corpus:
         self._undo(self.receipt(run_id)["files"], run_id)
         Folder(self.spark, f"{self.folder}/.receipts/{run_id}.json").delete()
 
+    def snapshot(self, target: str) -> int:
+        """Copy the archives and a manifest (name, md5, bytes) into a new folder; returns how many there are."""
+        if Folder(self.spark, target).exists():
+            raise FileExistsError(target)
+        manifest = archives.read_archives(self.spark, self.folder).select("path", "md5", F.length("content").alias("bytes")).toLocalIterator()
+        lines, place = ["name,md5,bytes"], Folder(self.spark, f"{target}/db")
+        place.make()
+        for row in manifest:
+            name = row["path"].rsplit("/", 1)[-1]
+            Folder(self.spark, f"{self.folder}/{name}").copy(f"{target}/db/{name}")
+            lines.append(f"{name},{row['md5']},{row['bytes']}")
+        Folder(self.spark, target).write_text("manifest.csv", "\n".join([lines[0], *sorted(lines[1:])]) + "\n")
+        return len(lines) - 1
+
+    def restore(self, snapshot: str, run_id: str) -> list[dict]:
+        """Make the corpus what a snapshot holds, by promotion: what is replaced or has gone since goes to the trash of the run."""
+        staging = f"{self.folder}/.restore-{run_id}"
+        Folder(self.spark, f"{snapshot}/db").copy(staging)
+        done = self.promote(staging, run_id, dry_run=False, verify=False, allow_delete=True, partial=False)
+        Folder(self.spark, staging).delete()
+        return done
+
     def collect_trash(self, keep: int) -> list[str]:
         """Delete all but the newest generations of trash."""
         old = Folder(self.spark, f"{self.folder}/.trash").names()

@@ -31,11 +31,13 @@ query("validate_events", lambda t: events.event_violations(t.log.withColumn("sou
   SELECT 'bad_source' AS rule, count(*) FILTER (event_id % 50 = 0) AS n_events FROM {log} UNION ALL SELECT 'blank_tsid', count(*) FILTER (event_id % 70 = 0) FROM {log} UNION ALL SELECT 'blank_field', 0 FROM {log} WHERE event_id = 0
   UNION ALL SELECT 'present_without_value', 0 FROM {log} WHERE event_id = 0 UNION ALL SELECT 'value_without_presence', count(*) FILTER (event_id % 90 = 0) FROM {log}""")
 query("state_hash", lambda t: events.state_fingerprint(events.state_at(t.log)), f"SELECT {X.sql_row_fingerprint('tsid', 'field', 'value', 'dataset_id')} AS state_hash FROM ({STATE})")
-query("retire", lambda t: events.retire(events.state_at(t.log), t.rows("select tsid from {log} where event_id % 400 = 1"), "closed"), f"""SELECT tsid, field, dataset_id, value AS old_value, true AS old_present, CAST(NULL AS VARCHAR) AS new_value, false AS new_present, 'retire' AS source, 'closed' AS reason
+query("retire", lambda t: events.retire(events.state_at(t.log), t.rows("select tsid from {log} where event_id % 400 = 1"), "closed"), f"""SELECT tsid, field, dataset_id, value AS old_value, true AS old_present, CAST(NULL AS VARCHAR) AS new_value, false AS new_present, 'curator' AS source, 'closed' AS reason
   FROM ({STATE}) WHERE tsid IN (SELECT tsid FROM {{log}} WHERE event_id % 400 = 1)""")
 query("event_append", lambda t: events.stamp_batch(events.diff_to_events(events.state_at(t.log, AS_OF), events.state_at(t.log)).withColumns({"run_id": F.lit(None).cast("string"), "ts": F.lit(None).cast("string"), "event_seq": F.lit(None).cast("long")}), "run7", "2024-02-01T00:00:00Z").select("run_id", "ts", "event_seq", "tsid", "field", "new_value"), f"""WITH b AS ({OLD}), a AS ({NEW}),
   d AS (SELECT coalesce(b.tsid, a.tsid) AS tsid, coalesce(b.field, a.field) AS field, a.value AS new_value FROM b FULL JOIN a ON b.tsid = a.tsid AND b.field = a.field WHERE (b.tsid IS NULL) <> (a.tsid IS NULL) OR b.value IS DISTINCT FROM a.value)
-  SELECT 'run7' AS run_id, '2024-02-01T00:00:00Z' AS ts, row_number() OVER (PARTITION BY tsid ORDER BY field) AS event_seq, tsid, field, new_value FROM d""")
+  SELECT 'run7' AS run_id, '2024-02-01T00:00:00Z' AS ts, row_number() OVER (ORDER BY substr(md5(tsid), 1, 2), tsid, field, new_value NULLS FIRST) AS event_seq, tsid, field, new_value FROM d""")
+BATCH = "select cast(null as string) as run_id, cast(null as string) as ts, cast(null as bigint) as event_seq, event_id + 1 as position, 'P' || cast(user_id % 40 as string) as tsid, 'f' || cast(event_id % 3 as string) as field, case when event_id % 4 <> 0 then cast(event_id as string) end as new_value, event_id % 4 <> 0 as new_present, 1 as append_seq, 'D' as dataset_id, 'sheet' as source, 'a' as actor from {events}"
+query("event_append_ties", lambda t: events.state_at(events.stamp_batch(t.rows(BATCH), "run7", "2024-02-01T00:00:00Z")).select("tsid", "field", "value"), f"SELECT tsid, field, arg_max(CASE WHEN new_present THEN new_value ELSE '' END, position) AS value FROM ({BATCH}) GROUP BY 1, 2 HAVING value <> ''")
 query("seed_baseline", lambda t: events.diff_to_events(t.base.limit(0), t.base), "SELECT tsid, field, dataset_id, CAST(NULL AS VARCHAR) AS old_value, false AS old_present, value AS new_value, true AS new_present FROM {base}")
 
 # -- registry ---------------------------------------------------------------------------------------------------------

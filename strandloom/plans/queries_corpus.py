@@ -38,7 +38,6 @@ def delta(t):
 query("membership_delta", delta, DELTA)
 query("membership_apply", lambda t: documents.apply_membership(t.clean_series, delta(t), "cR").select("tsid", F.array_join("compilations", ",").alias("compilations")), f"""SELECT s.tsid, CASE WHEN len(l) > 0 THEN array_to_string(list_filter(l, lambda x: x IS NOT NULL), ',') END AS compilations FROM (SELECT s.tsid, CASE WHEN change = 'add' THEN list_append(compilations, 'cR') WHEN change = 'drop' THEN list_filter(compilations, lambda x: x <> 'cR') ELSE compilations END AS l FROM {{clean_series}} s LEFT JOIN ({DELTA}) d ON s.tsid = d.tsid) s""")
 query("create_compilation", lambda t: documents.create_compilation(t.clean_series, t.rows("select tsid from {clean_series} where l_suppkey % 9 = 0 union all select 'no-' || tsid from {clean_series} where l_suppkey % 50 = 0"), "cR"), "SELECT tsid, CASE WHEN list_contains(compilations, 'cR') THEN 'already' ELSE 'added' END AS outcome FROM {clean_series} WHERE l_suppkey % 9 = 0 UNION ALL SELECT 'no-' || tsid, 'unknown' FROM {clean_series} WHERE l_suppkey % 50 = 0")
-query("offer", lambda t: documents.offer(t.rows(TAB), t.datasets.where("o_orderkey < 500")), f"SELECT name, include FROM ({TAB}) UNION ALL SELECT name, NULL FROM {{datasets}} WHERE o_orderkey < 500 AND name NOT IN (SELECT name FROM ({TAB}))")
 PATH = "target, \"index\", scope, name, level"
 ROUTE = """(SELECT *, CASE field WHEN 'geo_latitude' THEN 'geo' WHEN 'pub2_title' THEN 'pub' WHEN 'paleoData_units' THEN 'column' WHEN 'chronData_units' THEN 'column' WHEN 'climateInterpretation2_variable' THEN 'interpretation' WHEN 'interpretation1_scope' THEN 'interpretation' WHEN 'calibration_method' THEN 'calibration' ELSE 'root' END AS target,
   CASE field WHEN 'pub2_title' THEN 2 WHEN 'climateInterpretation2_variable' THEN 2 WHEN 'interpretation1_scope' THEN 1 END AS "index", CASE field WHEN 'climateInterpretation2_variable' THEN 'climate' END AS scope, CASE field WHEN 'archiveType' THEN field WHEN 'geo_latitude' THEN 'latitude' WHEN 'pub2_title' THEN 'title' WHEN 'climateInterpretation2_variable' THEN 'variable' WHEN 'interpretation1_scope' THEN 'scope' WHEN 'calibration_method' THEN 'method' ELSE 'units' END AS name,
@@ -96,30 +95,43 @@ query("next_version", lambda t: versions.next_patch(t.versions, "dataset_id"), f
 query("set_hash", lambda t: versions.set_hashes(t.series, "dataset_id", "item"), "SELECT dataset_id, md5(string_agg(DISTINCT item, chr(10) ORDER BY item)) AS hash FROM {series} GROUP BY dataset_id")
 
 # -- duplicates -------------------------------------------------------------------------------------------------------
-query("value_hashes", lambda t: dedupe.value_hashes(t.lines.groupBy((F.col("l_orderkey") % 200).alias("dataset_id"), F.when(F.col("l_suppkey") % 4 == 0, "Age").otherwise(F.col("l_returnflag")).alias("variable")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "n", "l_quantity"))), lambda x: F.when(x["l_quantity"] != 7, x["l_quantity"])).alias("vals"))), """WITH c AS (SELECT l_orderkey % 200 AS dataset_id, CASE WHEN l_suppkey % 4 = 0 THEN 'Age' ELSE l_returnflag END AS variable, l_quantity AS q, l_orderkey, n FROM {lines})
-  SELECT DISTINCT dataset_id, md5(string_agg(CAST(CAST(q AS DECIMAL(18,2)) AS VARCHAR), ',' ORDER BY l_orderkey, n)) AS hash FROM c WHERE q <> 7 AND variable <> 'Age' GROUP BY dataset_id, variable HAVING count(*) >= 20""")
+VALUES = "select l_orderkey % 200 as dataset_id, case when l_suppkey % 4 = 0 then 'Age' else l_returnflag end as variable, case when l_quantity <> 7 then cast(l_extendedprice as double) / 7e3 end as v, l_orderkey, n from {lines}"
+query("value_hashes", lambda t: dedupe.value_hashes(t.rows(VALUES).groupBy("dataset_id", "variable").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "n", "v"))), lambda x: x["v"]).alias("vals"))), f"""SELECT DISTINCT dataset_id, md5(string_agg(printf('%.6g', v), ',' ORDER BY l_orderkey, n)) AS hash FROM ({VALUES}) WHERE v IS NOT NULL AND variable <> 'Age' GROUP BY dataset_id, variable HAVING count(*) >= 20""")
 KM = X.sql_haversine_km("a.lat", "a.lon", "b.lat", "b.lon")
-query("grid_self_join", lambda t: dedupe.grid_pairs(t.sites), f"SELECT a.id, b.id AS id_b, round({KM}, 6) AS km FROM {{sites}} a JOIN {{sites}} b ON a.id < b.id AND abs(floor(a.lat) - floor(b.lat)) <= 1 AND abs(floor(a.lon) - floor(b.lon)) <= 1 WHERE {KM} <= 50")
-query("haversine_pairs", lambda t: t.sites.alias("a").join(t.sites.alias("b"), F.col("a.name") == F.col("b.name")).where("a.id < b.id and a.id like 's%'").select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b"), F.round(X.haversine_km("a.lat", "a.lon", "b.lat", "b.lon"), 4).alias("km")).union(t.sites.where("id like 'c1%'").select("id", F.lit("origin"), F.round(X.haversine_km("lat", "lon", F.lit(0.0), F.lit(0.0)), 4))), f"SELECT id, 'origin' AS id_b, round({X.sql_haversine_km('lat', 'lon', '0.0::DOUBLE', '0.0::DOUBLE')}, 4) AS km FROM {{sites}} WHERE id LIKE 'c1%'")
+NEAR = "abs(floor(a.lat / {step!r}::DOUBLE) - floor(b.lat / {step!r}::DOUBLE)) <= 1 AND abs(floor(a.lon / {step!r}::DOUBLE) - floor(b.lon / {step!r}::DOUBLE)) <= 1"
+
+
+def quoted(advice: str) -> str:
+    return "'" + dedupe.ADVICE[advice].replace("'", "''") + "'"
+
+
+def filled(advice: str, *columns: str) -> str:
+    parts = [f"'{p}'" for p in dedupe.ADVICE[advice].replace("'", "''").split("{}")]
+    return " || ".join(x for pair in zip(parts, [*columns, None], strict=True) for x in pair if x)
+
+
+query("grid_self_join", lambda t: dedupe.grid_pairs(t.sites, 50.0), f"SELECT a.id, b.id AS id_b, round({KM}, 6) AS km FROM {{sites}} a JOIN {{sites}} b ON a.id < b.id AND {NEAR.format(step=50 / 111)} WHERE {KM} <= 50")
 OVER = "coalesce(greatest(least(a.last, b.last) - greatest(a.first, b.first), 0) / nullif(least(a.last - a.first, b.last - b.first), 0), 0)"
-query("duplicate_candidates", lambda t: dedupe.duplicate_candidates(t.sites), f"""SELECT a.id, b.id AS id_b, round({KM}, 6) AS km, round({OVER}, 6) AS overlap, CASE WHEN a.name = b.name AND a.kind = b.kind THEN 'same' WHEN a.name = b.name THEN 'same_site' WHEN a.kind = b.kind AND round({KM}, 6) < 1 AND {OVER} > 0.5 THEN 'likely' WHEN a.kind = b.kind AND {OVER} > 0.5 THEN 'possible' WHEN round({KM}, 6) < 1 THEN 'near' ELSE 'unlikely' END AS disposition
-  FROM {{sites}} a JOIN {{sites}} b ON a.id < b.id AND abs(floor(a.lat) - floor(b.lat)) <= 1 AND abs(floor(a.lon) - floor(b.lon)) <= 1 WHERE {KM} <= 50""")
-query("interval_overlap", lambda t: t.sites.alias("a").join(t.sites.alias("b"), F.col("a.name") == F.col("b.name")).where("a.id < b.id and a.id like 'c10%'").select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b"), F.round(F.coalesce(dedupe.interval_overlap(F.col("a.first"), F.col("a.last"), F.col("b.first"), F.col("b.last")), F.lit(0.0)), 6).alias("overlap")), f"SELECT a.id, b.id AS id_b, round({OVER}, 6) AS overlap FROM {{sites}} a JOIN {{sites}} b ON a.name = b.name WHERE a.id < b.id AND a.id LIKE 'c10%'")
-query("jaccard_pairs", lambda t: dedupe.jaccard_pairs(t.lineitem.select(F.col("l_orderkey").alias("id"), (F.col("l_partkey") % 40).alias("item")).where("id < 1500"), 0.5).withColumn("jaccard", F.round("jaccard", 6)), """WITH s AS (SELECT DISTINCT l_orderkey AS id, l_partkey % 40 AS item FROM lineitem WHERE l_orderkey < 1500), n AS (SELECT id, count(*) AS n FROM s GROUP BY id), p AS (SELECT a.id, b.id AS id_b, count(*) AS k FROM s a JOIN s b ON a.item = b.item AND a.id < b.id GROUP BY 1, 2)
-  SELECT p.id, p.id_b, round(k / CAST(x.n + y.n - k AS DOUBLE), 6) AS jaccard FROM p JOIN n x ON p.id = x.id JOIN n y ON p.id_b = y.id WHERE k / CAST(x.n + y.n - k AS DOUBLE) >= 0.5""")
+YEARS = "greatest(least(a.last, b.last) - greatest(a.first, b.first), 0.0::DOUBLE)"
+LIKE = "(len(list_intersect(a.{c}, b.{c})) / CAST(len(list_distinct(list_concat(a.{c}, b.{c}))) AS DOUBLE))"
+query("duplicate_candidates", lambda t: dedupe.duplicate_candidates(t.sites, 60.0), f"""WITH c AS (SELECT a.id, b.id AS id_b, round({KM}, 6) AS km, a.doi <> '' AND a.doi = b.doi AS same_doi, a.kind = b.kind AS same_kind, a.name = b.name AS same_site, round({LIKE.format(c='vars')}, 6) AS var_overlap, round({LIKE.format(c='tsids')}, 6) AS ts_overlap, {YEARS} AS year_overlap, b.last - b.first > a.last - a.first AS longer
+  FROM {{sites}} a JOIN {{sites}} b ON a.id < b.id AND {NEAR.format(step=60 / 111)} WHERE {KM} <= 60),
+  r AS (SELECT *, CASE WHEN ts_overlap > 0 OR (same_doi AND var_overlap >= 0.8) THEN 'already_present' WHEN same_doi AND var_overlap > 0 THEN 'partial_overlap' WHEN km < 1 AND same_kind AND var_overlap >= 0.8 THEN 'already_present' WHEN km < 1 AND same_kind AND var_overlap > 0 THEN 'partial_overlap' WHEN km < 1 AND same_kind OR same_site AND same_kind THEN 'same_site_different_record' ELSE 'nearby_unrelated' END AS disposition FROM c)
+  SELECT * EXCLUDE (longer), CASE WHEN disposition = 'already_present' AND longer THEN {quoted('longer')} WHEN disposition = 'already_present' THEN {quoted('present')} WHEN disposition = 'partial_overlap' THEN {quoted('part')} WHEN disposition = 'same_site_different_record' THEN {quoted('same_site')} ELSE {quoted('unrelated')} END AS recommendation FROM r""")
 query("cross_conflicts", lambda t: dedupe.cross_conflicts(t.compilation_cells), f"""SELECT tsid, field, count(DISTINCT compilation) AS n_compilations, count(DISTINCT value) AS n_values, count(DISTINCT {PLAIN.format('value')}) AS n_plain, string_agg(DISTINCT value, ' | ' ORDER BY value) AS "values", CASE WHEN count(DISTINCT {PLAIN.format('value')}) = 1 THEN 'cosmetic' ELSE 'substantive' END AS kind FROM {{compilation_cells}} WHERE value <> '' GROUP BY 1, 2 HAVING count(DISTINCT compilation) > 1 AND count(DISTINCT value) > 1""")
 
-# -- the same operators over whole tables, beside the queries above whose SQL takes fixed ids ----------------------------
-query("offer_all", lambda t: documents.offer(t.rows(TAB), t.datasets), f"SELECT name, include FROM ({TAB}) UNION ALL SELECT name, NULL FROM {{datasets}} WHERE name NOT IN (SELECT name FROM ({TAB}))")
-query("haversine_pairs_all", lambda t: t.sites.alias("a").join(t.sites.alias("b"), F.col("a.name") == F.col("b.name")).where("a.id < b.id").select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b"), F.round(X.haversine_km("a.lat", "a.lon", "b.lat", "b.lon"), 4).alias("km")).union(t.sites.select("id", F.lit("origin"), F.round(X.haversine_km("lat", "lon", F.lit(0.0), F.lit(0.0)), 4))), f"SELECT a.id, b.id AS id_b, round({KM}, 4) AS km FROM {{sites}} a JOIN {{sites}} b ON a.name = b.name WHERE a.id < b.id UNION ALL SELECT id, 'origin', round({X.sql_haversine_km('lat', 'lon', '0.0::DOUBLE', '0.0::DOUBLE')}, 4) FROM {{sites}}")
-query("interval_overlap_all", lambda t: t.sites.alias("a").join(t.sites.alias("b"), F.col("a.name") == F.col("b.name")).where("a.id < b.id").select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b"), F.round(F.coalesce(dedupe.interval_overlap(F.col("a.first"), F.col("a.last"), F.col("b.first"), F.col("b.last")), F.lit(0.0)), 6).alias("overlap")), f"SELECT a.id, b.id AS id_b, round({OVER}, 6) AS overlap FROM {{sites}} a JOIN {{sites}} b ON a.name = b.name WHERE a.id < b.id")
-query("jaccard_pairs_all", lambda t: dedupe.jaccard_pairs(t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("item")), 0.5).withColumn("jaccard", F.round("jaccard", 6)), """WITH s AS (SELECT DISTINCT l_orderkey AS id, l_partkey AS item FROM lineitem), n AS (SELECT id, count(*) AS n FROM s GROUP BY id), p AS (SELECT a.id, b.id AS id_b, count(*) AS k FROM s a JOIN s b ON a.item = b.item AND a.id < b.id GROUP BY 1, 2)
+# -- pairs and offers over whole tables ---------------------------------------------------------------------------------
+query("offer", lambda t: documents.offer(t.rows(TAB), t.datasets), f"SELECT name, include FROM ({TAB}) UNION ALL SELECT name, NULL FROM {{datasets}} WHERE name NOT IN (SELECT name FROM ({TAB}))")
+query("haversine_pairs", lambda t: t.sites.alias("a").join(t.sites.alias("b"), F.col("a.name") == F.col("b.name")).where("a.id < b.id").select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b"), F.round(X.haversine_km("a.lat", "a.lon", "b.lat", "b.lon"), 4).alias("km")).union(t.sites.select("id", F.lit("origin"), F.round(X.haversine_km("lat", "lon", F.lit(0.0), F.lit(0.0)), 4))), f"SELECT a.id, b.id AS id_b, round({KM}, 4) AS km FROM {{sites}} a JOIN {{sites}} b ON a.name = b.name WHERE a.id < b.id UNION ALL SELECT id, 'origin', round({X.sql_haversine_km('lat', 'lon', '0.0::DOUBLE', '0.0::DOUBLE')}, 4) FROM {{sites}}")
+query("interval_overlap", lambda t: t.sites.alias("a").join(t.sites.alias("b"), F.col("a.name") == F.col("b.name")).where("a.id < b.id").select(F.col("a.id").alias("id"), F.col("b.id").alias("id_b"), F.round(F.coalesce(dedupe.interval_overlap(F.col("a.first"), F.col("a.last"), F.col("b.first"), F.col("b.last")), F.lit(0.0)), 6).alias("overlap")), f"SELECT a.id, b.id AS id_b, round({OVER}, 6) AS overlap FROM {{sites}} a JOIN {{sites}} b ON a.name = b.name WHERE a.id < b.id")
+query("jaccard_pairs", lambda t: dedupe.jaccard_pairs(t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("item")), 0.5).withColumn("jaccard", F.round("jaccard", 6)), """WITH s AS (SELECT DISTINCT l_orderkey AS id, l_partkey AS item FROM lineitem), n AS (SELECT id, count(*) AS n FROM s GROUP BY id), p AS (SELECT a.id, b.id AS id_b, count(*) AS k FROM s a JOIN s b ON a.item = b.item AND a.id < b.id GROUP BY 1, 2)
   SELECT p.id, p.id_b, round(k / CAST(x.n + y.n - k AS DOUBLE), 6) AS jaccard FROM p JOIN n x ON p.id = x.id JOIN n y ON p.id_b = y.id WHERE k / CAST(x.n + y.n - k AS DOUBLE) >= 0.5""")
-HASHED = "select distinct 'O' || cast(l_orderkey as string) as dataset_id, md5(cast(l_partkey as string)) as hash, l_orderkey from {lineitem}"
-query("duplicate_screen_all", lambda t: dedupe.duplicate_screen(t.rows(HASHED).where("l_orderkey % 4 = 0"), t.rows(HASHED).where("l_orderkey % 4 <> 0")).withColumn("containment", F.round("containment", 6)), f"""WITH h AS ({HASHED}), a AS (SELECT DISTINCT dataset_id, hash FROM h WHERE l_orderkey % 4 = 0), b AS (SELECT DISTINCT dataset_id, hash FROM h WHERE l_orderkey % 4 <> 0), na AS (SELECT dataset_id, count(*) AS n FROM a GROUP BY 1), nb AS (SELECT dataset_id, count(*) AS n FROM b GROUP BY 1),
-  s AS (SELECT a.dataset_id AS new_id, b.dataset_id AS old_id, count(*) AS n_shared FROM a JOIN b ON a.hash = b.hash GROUP BY 1, 2), x AS (SELECT s.*, n_shared / CAST(least(na.n, nb.n) AS DOUBLE) AS c FROM s JOIN na ON na.dataset_id = new_id JOIN nb ON nb.dataset_id = old_id)
-  SELECT new_id, old_id, n_shared, round(c, 6) AS containment, CASE WHEN c >= 0.999 THEN 'block' WHEN c >= 0.5 THEN 'review' ELSE 'note' END AS disposition FROM x""")
-
+HASHED = "select distinct 'O' || cast(l_orderkey as string) as dataset_id, md5(cast(l_partkey as string)) as hash, l_orderkey, l_partkey from {lineitem}"
+NEW_SIDE, OLD_SIDE = "l_orderkey % 4 = 0", "(l_orderkey % 4 <> 0 or l_orderkey % 8 = 0 and l_partkey % 3 <> 0 or l_orderkey % 12 = 0)"
+query("duplicate_screen", lambda t: dedupe.duplicate_screen(t.rows(HASHED).where(NEW_SIDE), t.rows(HASHED).where(OLD_SIDE)).withColumn("containment", F.round("containment", 6)), f"""WITH h AS ({HASHED}), a AS (SELECT DISTINCT dataset_id, hash FROM h WHERE {NEW_SIDE}), b AS (SELECT DISTINCT dataset_id, hash FROM h WHERE {OLD_SIDE}), na AS (SELECT dataset_id, count(*) AS n FROM a GROUP BY 1), nb AS (SELECT dataset_id, count(*) AS n FROM b GROUP BY 1),
+  s AS (SELECT a.dataset_id AS new_id, b.dataset_id AS old_id, count(*) AS n_shared FROM a JOIN b ON a.hash = b.hash GROUP BY 1, 2), x AS (SELECT s.*, na.n AS n_new, nb.n AS n_old, new_id = old_id AS same_name, n_shared / CAST(least(na.n, nb.n) AS DOUBLE) AS c FROM s JOIN na ON na.dataset_id = new_id JOIN nb ON nb.dataset_id = old_id)
+  SELECT new_id, old_id, n_shared, n_new, n_old, same_name, round(c, 6) AS containment, CASE WHEN c >= 1 AND n_new > n_old THEN 'already_present_incoming_has_more' WHEN c >= 1 THEN 'already_present' ELSE 'partial_overlap' END AS disposition,
+  CASE WHEN c >= 1 AND n_new > n_old THEN {filled('already_present_incoming_has_more', 'old_id')} WHEN c >= 1 AND same_name THEN {filled('update', 'old_id')} WHEN c >= 1 THEN {filled('already_present', 'old_id', 'old_id')} ELSE {filled('partial_overlap', 'n_shared', 'n_old', 'old_id')} END AS recommendation FROM x""")
 # -- relational building blocks ---------------------------------------------------------------------------------------
 query("count_by", lambda t: t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n")), "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
 query("topk_fields", lambda t: relational.top_counts(t.lineitem, "l_partkey", 15), "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 15")
@@ -143,6 +155,4 @@ query("semi_members", lambda t: t.customer.join(t.orders.where("o_totalprice > 4
 query("sources_pairing", lambda t: t.pages.select("page_id", F.regexp_extract("url", "^(.*)/", 1).alias("dir")).join(t.pages.where("page_id % 5 = 0").groupBy(F.regexp_extract("url", "^(.*)/", 1).alias("dir")).agg(F.count("*").alias("n_beside")), "dir", "left").select("page_id", F.coalesce("n_beside", F.lit(0)).alias("n_beside")), "SELECT page_id, coalesce(n, 0) AS n_beside FROM (SELECT page_id, regexp_extract(url, '^(.*)/', 1) AS dir FROM pages) p LEFT JOIN (SELECT regexp_extract(url, '^(.*)/', 1) AS dir, count(*) AS n FROM pages WHERE page_id % 5 = 0 GROUP BY 1) q ON p.dir = q.dir")
 
 # -- files that only code reads ---------------------------------------------------------------------------------------
-query("identity_extract", lambda t: archives.identities(archives.packed(t.documents)))
-query("flatten_leaves", lambda t: archives.leaves(archives.packed(t.documents)))
-query("verify_staged", lambda t: archives.verify(archives.packed(t.documents)))
+query("flatten_leaves", lambda t: archives.leaves(archives.packed(t.documents)))
\ No newline at end of file

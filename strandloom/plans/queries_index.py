@@ -63,7 +63,7 @@ query("gc_plan", lambda t: t.receipts.select("run_id").distinct().join(relationa
 query("write_log", lambda t: t.receipts.groupBy("run_id").agg(*[F.count_if(F.col("action") == a).alias(f"n_{a}") for a in ("add", "replace", "delete")], F.count_distinct("file").alias("n_files")).orderBy(F.desc("run_id")), "SELECT run_id, count(*) FILTER (action = 'add') AS n_add, count(*) FILTER (action = 'replace') AS n_replace, count(*) FILTER (action = 'delete') AS n_delete, count(DISTINCT file) AS n_files FROM {receipts} GROUP BY run_id")
 
 # -- incoming records -------------------------------------------------------------------------------------------------
-INCOMING = "select 'f' || cast(cast(floor(l_orderkey / 3) as bigint) as string) as file, l_orderkey * 100 + n as position, case when l_orderkey % 7 = 0 then cast(null as string) when l_orderkey % 5 = 0 then cast(l_orderkey as string) || '-' || cast(n as string) when l_orderkey % 4 = 0 then 'new-' || cast(l_orderkey % 50 as string) else 'own-' || cast(l_orderkey as string) || '-' || cast(n as string) end as tsid, case when l_orderkey % 10 = 0 then cast(null as string) when l_orderkey % 15 = 0 then 'Oother' else 'O' || cast(l_orderkey as string) end as dataset_id, 'N' || cast(l_orderkey as string) as dataset_name, case when l_orderkey % 211 = 0 then 'bad' end as error from {lines} where l_orderkey < 2000"
+INCOMING = "select 'f' || cast(cast(floor(l_orderkey / 3) as bigint) as string) as file, l_orderkey * 100 + n as position, case when l_orderkey % 7 = 0 then cast(null as string) when l_orderkey % 5 = 0 then cast(l_orderkey as string) || '-' || cast(n as string) when l_orderkey % 4 = 0 then 'new-' || cast(l_orderkey % 50 as string) else 'own-' || cast(l_orderkey as string) || '-' || cast(n as string) end as tsid, case when l_orderkey % 10 = 0 then cast(null as string) when l_orderkey % 15 = 0 then 'Oother' else 'O' || cast(l_orderkey as string) end as dataset_id, 'N' || cast(l_orderkey as string) as dataset_name, case when l_orderkey % 211 = 0 then 'bad' end as error from {lines}"
 INDEX = "select tsid, dataset_id, 'N' || substr(dataset_id, 2, 20) as dataset_name from {clean_series}"
 ACTION = f"""WITH inc AS ({INCOMING}), idx AS ({INDEX}), f AS (SELECT tsid, count(DISTINCT file) AS n FROM inc GROUP BY tsid),
   plan AS (SELECT inc.file, inc.position, inc.tsid, CASE WHEN inc.error IS NOT NULL THEN 'error' WHEN inc.tsid IS NULL THEN 'mint' WHEN idx.dataset_id = inc.dataset_id OR (inc.dataset_id IS NULL AND idx.dataset_name = inc.dataset_name) THEN 'keep' WHEN idx.tsid IS NOT NULL OR f.n > 1 THEN 'remint' ELSE 'keep' END AS action, idx.dataset_id AS claimed_by
@@ -118,15 +118,17 @@ query("vocab_overlay", lambda t: vocab.overlay(t.vocab, t.decisions), """WITH n
   SELECT vocab_key, name, synonym FROM {vocab} v WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.vocab_key = v.vocab_key AND n.synonym = v.synonym) UNION ALL SELECT * FROM n""")
 query("vocab_remap", lambda t: vocab.remap(t.decisions), "SELECT vocab_key, value, target, also_field, also_value FROM {decisions} WHERE decision = 'decompose' OR (decision = 'new_term' AND target <> '' AND also_field <> '')")
 query("apply_remap", lambda t: vocab.apply_remap(t.rows("select p_partkey, p_name, case when p_partkey % 3 = 0 then p_brand else '' end as color from {part}"), vocab.remap(t.decisions), "p_name", "color"), "SELECT p_partkey, CASE WHEN p_name = 'red widget' THEN 'PROMO' ELSE p_name END AS p_name, CASE WHEN p_partkey % 3 = 0 THEN p_brand WHEN p_name = 'red widget' THEN 'red' ELSE '' END AS color FROM {part}")
-SCORE = "levenshtein(lower(value), lower(term)) / CAST(greatest(length(value), length(term), 1) AS DOUBLE)"
-query("vocab_candidates", lambda t: vocab.candidates(unknown(t), t.vocab).withColumn("score", F.round("score", 6)), f"""{STANDARD}, u AS (SELECT vocab_key, input AS value FROM standard WHERE NOT matched AND coalesce(input, '') <> ''), x AS (SELECT u.vocab_key, value, name, coalesce(synonym, name) AS term FROM u JOIN {{vocab}} v ON u.vocab_key = v.vocab_key),
-  y AS (SELECT vocab_key, value, name, min({SCORE} - CASE WHEN contains(lower(value), lower(term)) OR contains(lower(term), lower(value)) THEN 0.6::DOUBLE ELSE 0 END - CASE WHEN lower(value)[1:4] = lower(term)[1:4] THEN 0.25::DOUBLE ELSE 0 END) AS score FROM x GROUP BY 1, 2, 3)
-  SELECT vocab_key, value, name, round(score, 6) AS score, place FROM (SELECT *, row_number() OVER (PARTITION BY vocab_key, value ORDER BY score, name) AS place FROM y) WHERE place <= 3""")
+SCORE = "levenshtein(lower(value), lower(term)) / CAST(greatest(length(value), length(term)) AS DOUBLE) - CASE WHEN contains(lower(value), lower(term)) OR contains(lower(term), lower(value)[1:40]) THEN 0.6::DOUBLE ELSE 0 END - CASE WHEN len(list_filter(string_split_regex(lower(value), '[^a-z0-9]+'), lambda w: length(w) >= 4 AND (starts_with(lower(term), w) OR starts_with(w, lower(term)[1:5])))) > 0 THEN 0.25::DOUBLE ELSE 0 END"
+PLACED = "select * from {vocab} union all select 'type', 'unknown', 'ECONOMYX', 20 union all select 'type', 'PLATED', cast(null as string), 21 union all select 'type', 'unknown', 'brushed tin', 22"
+query("vocab_candidates", lambda t: vocab.candidates(unknown(t), t.rows(PLACED)).withColumn("score", F.round("score", 6)), f"""{STANDARD}, u AS (SELECT vocab_key, input AS value FROM standard WHERE NOT matched AND coalesce(input, '') <> ''), v AS ({PLACED}), f AS (SELECT vocab_key, name, name AS term, 1 AS rank, place FROM v UNION ALL SELECT vocab_key, name, synonym, 2, place FROM v WHERE synonym IS NOT NULL),
+  e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vocab_key, term ORDER BY rank, place) AS q FROM f WHERE term <> 'unknown') WHERE q = 1), y AS (SELECT u.vocab_key, value, name, rank, place, {SCORE} AS score FROM u JOIN e ON u.vocab_key = e.vocab_key),
+  z AS (SELECT *, row_number() OVER (PARTITION BY vocab_key, value ORDER BY score, rank, place) AS o FROM y), g AS (SELECT vocab_key, value, name, min(o) AS o, arg_min(score, o) AS score FROM z WHERE o <= 15 AND name <> 'unknown' GROUP BY 1, 2, 3)
+  SELECT vocab_key, value, name, round(score, 6) AS score, place FROM (SELECT *, row_number() OVER (PARTITION BY vocab_key, value ORDER BY o) AS place FROM g) WHERE place <= 5""")
 query("thesaurus_load", lambda t: t.vocab.groupBy("vocab_key", "name").agg(F.array_join(F.array_sort(F.collect_set("synonym")), " | ").alias("alt"), F.min("place").alias("id")), "SELECT vocab_key, name, string_agg(DISTINCT synonym, ' | ' ORDER BY synonym) AS alt, min(place) AS id FROM {vocab} GROUP BY 1, 2")
-query("thesaurus_match", lambda t: vocab.thesaurus_match(t.vocab_input.where("value <> ''"), t.vocab.groupBy("vocab_key", F.col("name").alias("label")).agg(F.collect_set("synonym").alias("alt"), F.min("place").alias("id"))).withColumn("score", F.round("score", 6)), """WITH v AS (SELECT DISTINCT vocab_key, value FROM {vocab_input} WHERE value <> ''), c AS (SELECT vocab_key, name AS label, list(DISTINCT lower(synonym)) AS alt, min(place) AS id FROM {vocab} GROUP BY 1, 2),
-  j AS (SELECT value, id, label, CASE WHEN lower(value) = lower(label) THEN 'exact' WHEN list_contains(alt, lower(value)) THEN 'alt' WHEN contains(lower(label), lower(value)) THEN 'contains' WHEN contains(lower(value), lower(label)) THEN 'contained' ELSE 'near' END AS rule, levenshtein(lower(value), lower(label)) / CAST(greatest(length(value), length(label), 1) AS DOUBLE) AS far FROM v JOIN c ON v.vocab_key = c.vocab_key),
-  s AS (SELECT *, far - CASE rule WHEN 'exact' THEN 10 WHEN 'alt' THEN 8 WHEN 'contains' THEN 1.2::DOUBLE WHEN 'contained' THEN 0.8::DOUBLE ELSE 0 END AS score FROM j WHERE rule <> 'near' OR far <= 0.45::DOUBLE)
-  SELECT value, id, label, rule, round(score, 6) AS score, place FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY score, id) AS place FROM s) WHERE place <= 3""")
+query("thesaurus_match", lambda t: vocab.thesaurus_match(t.vocab_input, t.vocab.groupBy("vocab_key", F.col("name").alias("label")).agg(F.collect_set("synonym").alias("alt"), F.min("place").alias("id"))).withColumn("score", F.round("score", 6)), f"""WITH v AS (SELECT DISTINCT vocab_key, value, lower({TRIM.replace("input", "value")}) AS a FROM {{vocab_input}} WHERE value <> ''), c AS (SELECT vocab_key, name AS label, lower(name) AS b, list(DISTINCT lower(synonym)) AS alt, min(place) AS id FROM {{vocab}} GROUP BY 1, 2),
+  j AS (SELECT v.vocab_key, value, id, label, a = b AS exact, list_contains(alt, a) AS in_alt, contains(b, a) OR len(list_filter(alt, lambda x: contains(x, a))) > 0 AS holds, length(a) > 5 AND length(b) > 3 AND contains(a, b) AS held, levenshtein(a, b) / CAST(greatest(length(a), length(b)) AS DOUBLE) AS far FROM v JOIN c ON v.vocab_key = c.vocab_key),
+  s AS (SELECT *, far - CASE WHEN exact THEN 10::DOUBLE ELSE 0 END - CASE WHEN in_alt THEN 8::DOUBLE ELSE 0 END - CASE WHEN holds THEN 1.2::DOUBLE ELSE 0 END - CASE WHEN held THEN 0.8::DOUBLE ELSE 0 END AS score FROM j)
+  SELECT vocab_key, value, id, label, CASE WHEN exact THEN 'exact' WHEN in_alt THEN 'altLabel' WHEN holds OR held THEN 'contains' ELSE 'similar' END AS rule, round(score, 6) AS score, place FROM (SELECT *, row_number() OVER (PARTITION BY vocab_key, value ORDER BY score, id) AS place FROM s) WHERE place <= 3 AND (exact OR in_alt OR holds OR held OR far <= 0.45::DOUBLE)""")
 query("review_queue", lambda t: vocab.review_queue(t.vocab_input.join(unknown(t), ["vocab_key", "value"]), t.decisions), f"""{STANDARD} SELECT i.vocab_key, i.value, count(*) AS n, min(tsid) AS example, string_agg(DISTINCT dataset_id, ',' ORDER BY dataset_id) AS datasets FROM {{vocab_input}} i JOIN standard s ON i.vocab_key = s.vocab_key AND i.value = s.input WHERE NOT matched AND i.value <> '' AND NOT EXISTS (SELECT 1 FROM {{decisions}} d WHERE d.vocab_key = i.vocab_key AND d.value = i.value) GROUP BY 1, 2""")
 query("anti_decided", lambda t: unknown(t).join(t.decisions.select("vocab_key", "value"), ["vocab_key", "value"], "left_anti"), f"{STANDARD} SELECT vocab_key, input AS value FROM standard s WHERE NOT matched AND coalesce(input, '') <> '' AND NOT EXISTS (SELECT 1 FROM {{decisions}} d WHERE d.vocab_key = s.vocab_key AND d.value = s.input)")
 query("vocab_accept", lambda t: vocab.accept(t.review, "medium").select("vocab_key", "value", "decision", "target", "accepted", "confidence"), "SELECT vocab_key, value, CASE WHEN a THEN proposed ELSE decision END AS decision, CASE WHEN a THEN proposed_target ELSE target END AS target, a AS accepted, confidence FROM (SELECT *, decision IS NULL AND proposed IS NOT NULL AND coalesce(confidence, 'low') IN ('medium', 'high') AS a FROM {review})")
@@ -140,9 +142,6 @@ query("review_export", lambda t: t.vocab_input.groupBy("vocab_key", "value").agg
 
 # -- text that no expression reads ------------------------------------------------------------------------------------
 query("mojibake", lambda t: t.documents.select("doc_id", T.repaired(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")).alias("r")).select("doc_id", "r.*").where("encoding is not null"))
-query("mojibake_cells", lambda t: t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("row", "line")).withColumn("r", T.repaired("line")).where("r.encoding is not null").select("doc_id", F.concat(X.column_letters(F.lit(2)), (F.col("row") + 2).cast("string")).alias("cell"), "r.repaired"))
-query("canonical_number", lambda t: t.customer.select("c_custkey", T.canonical_number("c_acctbal").alias("number")))
-query("text_nfc", lambda t: t.documents.select("doc_id", F.md5(T.nfc("text")).alias("md5")))
-query("duplicate_screen", lambda t: dedupe.duplicate_screen(t.order_hashes.where("l_orderkey < 800"), t.order_hashes.where("l_orderkey >= 800 and l_orderkey < 3000")).withColumn("containment", F.round("containment", 6)), """WITH a AS (SELECT DISTINCT dataset_id, hash FROM {order_hashes} WHERE l_orderkey < 800), b AS (SELECT DISTINCT dataset_id, hash FROM {order_hashes} WHERE l_orderkey >= 800 AND l_orderkey < 3000),
-  s AS (SELECT a.dataset_id AS new_id, b.dataset_id AS old_id, count(*) AS n_shared FROM a JOIN b ON a.hash = b.hash GROUP BY 1, 2), x AS (SELECT s.*, n_shared / CAST(least((SELECT count(*) FROM a WHERE a.dataset_id = new_id), (SELECT count(*) FROM b WHERE b.dataset_id = old_id)) AS DOUBLE) AS c FROM s)
-  SELECT new_id, old_id, n_shared, round(c, 6) AS containment, CASE WHEN c >= 0.999 THEN 'block' WHEN c >= 0.5 THEN 'review' ELSE 'note' END AS disposition FROM x""")
+query("mojibake_cells", lambda t: t.documents.select("doc_id", F.posexplode(F.split(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"), "\n")).alias("row", "line")).withColumn("r", T.repaired("line")).where("r.encoding is not null").select("doc_id", F.concat(X.column_letters(F.lit(2)), (F.col("row") + 2).cast("string")).alias("cell"), "r.repaired"))
+query("canonical_number", lambda t: t.customer.select("c_custkey", T.canonical_number("c_acctbal").alias("number")), "SELECT c_custkey, printf('%.15g', CAST(c_acctbal AS DOUBLE)) AS number FROM customer")
+query("text_nfc", lambda t: t.documents.select("doc_id", F.md5(T.nfc("text")).alias("md5")), "SELECT doc_id, md5(nfc_normalize(text)) AS md5 FROM documents")
\ No newline at end of file

@@ -39,7 +39,7 @@ def run(config: Settings, store: EventStore, backend: SheetBackend, series: Data
         merge.check_plan(plan, config.strict)
         state = merge.plan_state(plan)
         bad = merge.validate_values(merge.write_set(plan, membership), registry, ranges)
-        changes = events.diff_to_events(base, state).withColumns({"source": F.lit("merge"), "actor": F.lit("engine"), "reason": F.lit(run_id)})
+        changes = events.diff_to_events(base, state).withColumns({"source": F.lit("resolver"), "actor": F.lit("engine"), "reason": F.lit(run_id)})
         out = Update(plan, state, changes, bad)
         if not config.dry_run:
             out.appended = store.append(config.compilation, changes, run_id, ts)

@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom.sources.files import Folder
+
 
 def read_text_table(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=False, sep=separator, multiLine=True, escape='"', nullValue="")
 
 
 def read_vocabularies(spark: SparkSession, folder: str) -> DataFrame:
-    """(vocab_key, name, synonym, place) from one CSV a vocabulary, with columns lipdName and synonym or more; the key is the file's name."""
-    key = F.regexp_extract("_metadata.file_path", r"([^/]+)\.csv$", 1)
-    lines = spark.read.csv(f"{folder}/*.csv", header=True, inferSchema=False, multiLine=True, escape='"', nullValue="", enforceSchema=False)
-    if "lipdName" not in lines.columns:
-        raise ValueError("a vocabulary needs a column lipdName")
-    synonym = F.col("synonym") if "synonym" in lines.columns else F.lit(None).cast("string")
-    return lines.select(key.alias("vocab_key"), F.col("lipdName").alias("name"), synonym.alias("synonym"), F.monotonically_increasing_id().alias("place"))
+    """(vocab_key, name, synonym, place) from one CSV a vocabulary, with a column lipdName, maybe synonym, and others; the key is the file's name.
+
+    Each file has its own header. place is the order of listing inside a vocabulary, as a file is read by one task.
+    """
+    parts = []
+    for name in Folder(spark, folder).names(r"^[^._].*\.csv$"):
+        lines = read_text_table(spark, f"{folder}/{name}")
+        if "lipdName" not in lines.columns:
+            raise ValueError(f"{name} has no column lipdName")
+        synonym = F.col("synonym") if "synonym" in lines.columns else F.lit(None).cast("string")
+        parts.append(lines.select(F.lit(name.removesuffix(".csv")).alias("vocab_key"), F.col("lipdName").alias("name"), synonym.alias("synonym"), F.monotonically_increasing_id().alias("place")))
+    return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], "vocab_key string, name string, synonym string, place long")
 
 
 def read_thesaurus(spark: SparkSession, path: str) -> DataFrame:

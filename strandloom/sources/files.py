@@ -13,7 +13,9 @@ class Folder:
         jvm = spark.sparkContext._jvm
         self._make = lambda p: jvm.org.apache.hadoop.fs.Path(p)
         self._at = self._make(path)
-        self._fs = self._at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._at.getFileSystem(conf)
+        self._copy = lambda a, b: jvm.org.apache.hadoop.fs.FileUtil.copy(self._fs, a, b.getFileSystem(conf), b, False, conf)
 
     def exists(self) -> bool:
         return self._fs.exists(self._at)
@@ -48,6 +50,32 @@ class Folder:
         finally:
             stream.close()
 
+    def write_bytes(self, name: str, body: bytes) -> None:
+        stream = self._fs.create(self._make(f"{self.path}/{name}"), False)
+        try:
+            stream.write(bytearray(body))
+        finally:
+            stream.close()
+
+    def copy(self, target: str) -> None:
+        """Copy the folder with all it holds; the target must not exist."""
+        to = self._make(target)
+        if self._fs.exists(to):
+            raise FileExistsError(target)
+        self._fs.mkdirs(to.getParent())
+        if not self._copy(self._at, to):
+            raise OSError(f"{self.path} could not be copied to {target}")
+
+    def newest(self, pattern: str = ".*") -> str | None:
+        """The name changed last, the greater name of several; none in an empty folder."""
+        found = [(s.getModificationTime(), s.getPath().getName()) for s in self._fs.listStatus(self._at)] if self.exists() else []
+        return max((f for f in found if re.match(pattern, f[1])), default=(0, None))[1]
+
+    def first_of(self, *names: str) -> str | None:
+        """The path of the first of the names that is there."""
+        there = set(self.names())
+        return next((f"{self.path}/{n}" for n in names if n in there), None)
+
     def read_text(self, name: str) -> str:
         stream = self._fs.open(self._make(f"{self.path}/{name}"))
         try:

@@ -41,12 +41,23 @@ class LocalSheets:
     def tabs(self, sheet: str) -> list[str]:
         return [n.removesuffix(".gz").removesuffix(".csv") for n in self._place(sheet).names(r".*\.csv(\.gz)?$")]
 
+    def file(self, sheet: str, tab: str) -> str | None:
+        """The path of a tab, compressed rather than plain; none if there is neither."""
+        return self._place(sheet).first_of(f"{tab}.csv.gz", f"{tab}.csv")
+
+    def snapshot(self, target: str) -> int:
+        """Copy every sheet's tabs into a new folder; returns how many tabs there are."""
+        sheets_ = Folder(self.spark, self.folder).names(r"^[^.]")
+        for sheet in sheets_:
+            self._place(sheet).copy(f"{target}/{sheet}")
+        return sum(len(self.tabs(s)) for s in sheets_)
+
     def read(self, sheet: str, tab: str) -> DataFrame:
         """All text, blanks null, a literal NA kept; names as they stand."""
-        name = next((n for n in (f"{tab}.csv.gz", f"{tab}.csv") if n in self._place(sheet).names()), None)
-        if name is None:
+        at = self.file(sheet, tab)
+        if at is None:
             raise FileNotFoundError(f"{sheet} has no tab {tab}")
-        return self.spark.read.csv(f"{self.folder}/{sheet}/{name}", header=True, inferSchema=False, multiLine=True, escape='"', nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        return self.spark.read.csv(at, header=True, inferSchema=False, multiLine=True, escape='"', nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
     def _rows(self, sheet: str, tab: str) -> list[list[str]]:
         return list(csv.reader(io.StringIO(self._place(sheet).read_text(f"{tab}.csv"))))

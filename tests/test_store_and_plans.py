@@ -1,17 +1,19 @@
 """The event store, sheets, archives, promotion, locks, cache, settings, streaming and a whole update."""
 
+import os
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from strandloom.functions.text import number_text, repair_text
-from strandloom.operators import events
+from strandloom.operators import events, identity
 from strandloom.plans import control, promote, update
 from strandloom.plans.export import export_state
 from strandloom.sources import archives
 from strandloom.sources.dimensions import read_review, read_vocabularies, write_review
 from strandloom.sources.event_store import EventStore
+from strandloom.sources.files import Folder
 from strandloom.sources.sheet_store import LocalSheets, cell_position
 from strandloom.streaming.state import LiveState
 
@@ -40,9 +42,71 @@ def test_event_store(spark, tmp_path):
     with pytest.raises(ValueError, match="bad_source"):
         store.append("c", batch(spark, ("a", "x", "1")).withColumn("source", F.lit("odd")), "r4", TS.format(4))
     before = cells(store.state("c"))
-    n, mark = store.compact("c", "r5", TS.format(5), dry_run=False)
-    assert n == 2 and cells(store.state("c")) == before and store.compact("c", "r6", TS.format(6))[1] == mark
-    assert store.append("c", batch(spark, ("a", "y", "B")), "r7", TS.format(7)).startswith("000002_")
+    log = sorted(map(tuple, store.log("c").collect()), key=repr)
+    n, mark = store.compact("c", "r5")
+    assert n >= 2 and store._files("c") == ["000001_20240102000000_r1", "000002_20240101000000_r2"]
+    assert store.compact("c", "r5", dry_run=False)[1] == mark
+    assert sorted(map(tuple, store.log("c").collect()), key=repr) == log and len(log) == 5, "no event may be lost or changed"
+    assert cells(store.state("c")) == before and cells(store.state("c", TS.format(1))) == [("a", "x", "2")]
+    assert store.compact("c", "r6") == (2, mark) and store.compact("none", "r6")[0] == 0
+    assert store.append("c", batch(spark, ("a", "y", "B")), "r7", TS.format(7)).startswith("000003_")
+
+
+def test_the_later_event_of_a_cell_in_one_batch_wins(spark, tmp_path):
+    store = EventStore(spark, f"file://{tmp_path}/log")
+    rows = [("T", "f", "D", v, v is not None, False, "sheet", "me", i) for i, v in enumerate(["1", "2", None, "3", "2"], 1)]
+    store.append("c", spark.createDataFrame([*rows, ("U", "f", "D", "x", True, False, "sheet", "me", 6)], NEW + ", position long").orderBy(F.desc("position")), "r1", TS.format(1))
+    assert cells(store.state("c")) == [("T", "f", "2"), ("U", "f", "x")]
+    store.append("c", batch(spark, *[(f"T{i}", f"f{k}", "v") for i in range(30) for k in range(3)]), "r2", TS.format(2))
+    second = [r.event_seq for r in store.log("c").where("run_id = 'r2'").collect()]
+    assert sorted(second) == list(range(1, 91)), "numbers are unique in a batch"
+
+
+def test_decisions_are_kept(spark, tmp_path):
+    store = EventStore(spark, f"file://{tmp_path}/log")
+    columns = "vocab_key string, value string, decision string, target string, also_field string, also_value string"
+    assert store.decisions().count() == 0
+    store.decide(spark.createDataFrame([("k", "v", "synonym", "Lake", None, None)], columns), "me", "r1", TS.format(1))
+    store.decide(spark.createDataFrame([("k", "w", "leave", None, None, None)], columns), "me", "r2", TS.format(2))
+    assert sorted((r.value, r.decision, r.target, r.actor, r.run_id) for r in store.decisions().collect()) == [("v", "synonym", "Lake", "me", "r1"), ("w", "leave", None, "me", "r2")]
+    with pytest.raises(ValueError):
+        store.decide(spark.createDataFrame([("k", "v", "odd", None, None, None)], columns), "me", "r3", TS.format(3))
+
+
+def test_errors_are_reported_before_the_run_stops(spark, tmp_path):
+    fine = identity.issues(spark.range(2), "small", "warn", value=F.col("id"))
+    assert identity.check_issues(fine).count() == 2
+    bad = identity.bind(fine, identity.issues(spark.range(3), "wrong", "error", value=F.col("id")))
+    with pytest.raises(ValueError, match="3 errors"):
+        identity.check_issues(bad, f"file://{tmp_path}/report")
+    assert spark.read.csv(f"file://{tmp_path}/report", header=True).count() == 5
+
+
+def test_actor(monkeypatch):
+    monkeypatch.setenv("USER", "login")
+    assert control.actor() == "login"
+    monkeypatch.setenv("STRANDLOOM_ACTOR", " me ")
+    assert control.actor() == "me"
+
+
+def test_snapshots(spark, tmp_path):
+    (tmp_path / "db").mkdir()
+    for name in ("a", "b"):
+        (tmp_path / "db" / f"{name}.lpd").write_bytes(archives.pack({"dataSetName": name}))
+    corpus = promote.Corpus(spark, f"file://{tmp_path}/db")
+    assert corpus.snapshot(f"file://{tmp_path}/snap") == 2
+    with pytest.raises(FileExistsError):
+        corpus.snapshot(f"file://{tmp_path}/snap")
+    (tmp_path / "db" / "a.lpd").write_bytes(b"changed")
+    (tmp_path / "db" / "c.lpd").write_bytes(b"new")
+    corpus.restore(f"file://{tmp_path}/snap", "r1")
+    assert sorted(corpus.names()) == ["a.lpd", "b.lpd"] and (tmp_path / "db" / "a.lpd").read_bytes() == archives.pack({"dataSetName": "a"})
+    sheets = LocalSheets(spark, f"file://{tmp_path}/sheets")
+    sheets.write("s", "QC", spark.createDataFrame([("1", "x")], "TSid string, v string"))
+    assert sheets.snapshot(f"file://{tmp_path}/copies") == 1 and LocalSheets(spark, f"file://{tmp_path}/copies").read("s", "QC").count() == 1
+    assert sheets.file("s", "QC").endswith("QC.csv") and sheets.file("s", "none") is None
+    os.utime(tmp_path / "db" / "a.lpd", (2e9, 2e9))
+    assert Folder(spark, f"file://{tmp_path}/db").newest(r".*\.lpd$") == "a.lpd" and Folder(spark, f"file://{tmp_path}/none").newest() is None
 
 
 def test_diff_and_apply_are_inverse(spark):
@@ -148,7 +212,9 @@ def test_text_functions():
 def test_dimensions(spark, tmp_path):
     (tmp_path / "v").mkdir()
     (tmp_path / "v" / "kind.csv").write_text('lipdName,synonym\nLake,"Lagoon, old"\nIce,\n')
-    assert [(r.vocab_key, r.name, r.synonym) for r in read_vocabularies(spark, f"file://{tmp_path}/v").orderBy("place").collect()] == [("kind", "Lake", "Lagoon, old"), ("kind", "Ice", None)]
+    (tmp_path / "v" / "other.csv").write_text("note,lipdName\nn,Tree\n")
+    assert [r.name for r in read_vocabularies(spark, f"file://{tmp_path}/v").where("vocab_key = 'other' and synonym is null").collect()] == ["Tree"]
+    assert [(r.vocab_key, r.name, r.synonym) for r in read_vocabularies(spark, f"file://{tmp_path}/v").where("vocab_key = 'kind'").orderBy("place").collect()] == [("kind", "Lake", "Lagoon, old"), ("kind", "Ice", None)]
     items = spark.createDataFrame([("k", "v", ["d"], "synonym", "Lake", "high", None, None, None, None)], "vocab_key string, value string, datasets array<string>, proposed string, proposed_target string, confidence string, decision string, target string, also_field string, also_value string")
     write_review(items, f"file://{tmp_path}/r")
     assert read_review(spark, f"file://{tmp_path}/r").collect() == items.collect()

@@ -17,19 +17,19 @@ def folder(spark, tmp_path):
 def test_late_orders_are_compared(spark, folder):
     lines = [(70000, 1), (70000, 2), (70001, 1), (70001, 2), (70001, 3), (70003, 9)]
     at = folder("lineitem", lines, "l_orderkey long, l_partkey long")
-    assert [tuple(r) for r in QUERIES["jaccard_pairs_all"](spark, at).collect()] == [(70000, 70001, 0.666667)]
-    got = QUERIES["duplicate_screen_all"](spark, at).collect()
-    assert [(r.new_id, r.old_id, r.n_shared, r.containment, r.disposition) for r in got] == [("O70000", "O70001", 2, 1.0, "block")]
+    assert [tuple(r) for r in QUERIES["jaccard_pairs"](spark, at).collect()] == [(70000, 70001, 0.666667)]
+    got = sorted((r.new_id, r.old_id, r.n_shared, r.containment, r.same_name, r.disposition) for r in QUERIES["duplicate_screen"](spark, at).collect())
+    assert got == [("O70000", "O70000", 2, 1.0, True, "already_present"), ("O70000", "O70001", 2, 1.0, False, "already_present")]
 
 
 def test_all_sites_are_paired(spark, folder):
     folder("supplier", [(5, "x", 1)], "s_suppkey long, s_name string, s_nationkey long")
     at = folder("customer", [(20, "x", 1), (31, "x", 1), (42, "y", 1)], "c_custkey long, c_mktsegment string, c_nationkey long")
     wanted = {("c20", "c31"), ("c20", "s5"), ("c31", "s5")}
-    assert {(r.id, r.id_b) for r in QUERIES["interval_overlap_all"](spark, at).collect()} == wanted
-    assert {(r.id, r.id_b) for r in QUERIES["haversine_pairs_all"](spark, at).collect()} == wanted | {(i, "origin") for i in ("c20", "c31", "c42", "s5")}
+    assert {(r.id, r.id_b) for r in QUERIES["interval_overlap"](spark, at).collect()} == wanted
+    assert {(r.id, r.id_b) for r in QUERIES["haversine_pairs"](spark, at).collect()} == wanted | {(i, "origin") for i in ("c20", "c31", "c42", "s5")}
 
 
 def test_late_orders_are_offered(spark, folder):
     at = folder("orders", [(70001, 1), (70002, 1)], "o_orderkey long, o_custkey long")
-    assert {r.name for r in QUERIES["offer_all"](spark, at).collect()} == {"N70001", "N70002"}
+    assert {r.name for r in QUERIES["offer"](spark, at).collect()} == {"N70001", "N70002"}
