@@ -44,7 +44,7 @@ ROUNDS = ((0, 1), (2, TREES - 1))
 #: The level at which large nodes of the first trees are dealt to blocks, as well as branched.
 DEALT = 1
 #: Standard errors of the estimate by which a pair may miss the threshold and still be verified.
-SLACK = 4.0
+SLACK = 3.5
 #: Shingles of all sets of a group that one task holds at once.
 HELD = 1 << 22
 
@@ -218,9 +218,9 @@ def tree_nodes(classes: DataFrame, low: int, high: int, percent: int) -> DataFra
         hit = staged(current.join(sizes, "path"), "nodes", slim=True)
         small = hit.where(F.col("n") <= NODE).select("tree", "path", "node")
         leaves = small if leaves is None else leaves.union(small)
-        big = hit.where(F.col("n") > NODE)
         if sizes.where(F.col("n") > NODE).isEmpty():
             break
+        big = staged(hit.where(F.col("n") > NODE), "big", slim=True)  # a table of its own, so that joins are planned by its size
         if low:
             ended, big = by_main_label(big)
             leaves = leaves.union(ended)
@@ -262,7 +262,7 @@ def _labelled(docs: DataFrame, width: int, percent: int, doc_id: str = "doc_id",
         if labels is None:
             labelled = classes.withColumn("label", F.col("node"))
         else:
-            labelled = staged(classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+            labelled = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         groups = _groups(labelled, low, high, percent)
         wanted = groups.select("node").distinct()
         if full_sets is not None:
