@@ -110,6 +110,17 @@ def minwise(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return found[:, :TREES], (values >> np.uint64(56)).astype(np.uint8), (values[:, :BRANCHING] >> np.uint64(16)).astype("<u4")
 
 
+def packed_set(values: np.ndarray) -> bytes:
+    """The upper 48 bits of each shingle's hash, which tell the shingles of a group apart: 2**22 of them coincide in 0.03 places on average."""
+    return (values >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked_set(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
+
+
 def set_key(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
@@ -308,7 +319,7 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in row_blocks(batches, "text"):
             made = [s for s in shingle_sets(block.column("text").to_pylist(), width) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in made], pa.binary()), pa.array([s.tobytes() for s in made], pa.binary())], ["key", "vals"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in made], pa.binary()), pa.array([packed_set(s) for s in made], pa.binary())], ["key", "vals"])
 
     return texts.transform(bounded).mapInArrow(run, "key binary, vals binary").select(F.xxhash64("key").alias("node"), "vals")
 
@@ -317,7 +328,7 @@ def _verifier(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, "gid"):
             once = list({r["node"]: r for r in group}.values())
-            links = links_within([r["node"] for r in once], [r["label"] for r in once], [np.frombuffer(r["vals"], np.uint64) for r in once], percent)
+            links = links_within([r["node"] for r in once], [r["label"] for r in once], [unpacked_set(r["vals"]) for r in once], percent)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 

@@ -96,6 +96,11 @@ def test_groups_with_more_shingles_than_a_task_holds_are_cut_into_pairs_of_block
     assert list(near_dup.within([1, 2], sizes, held=100)) == [[1, 2]]
 
 
+def test_packed_sets_keep_the_upper_bits():
+    values = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
+    assert (near_dup.unpacked_set(near_dup.packed_set(values)) == values >> np.uint64(16)).all() and len(near_dup.packed_set(values)) == 6 * len(values)
+
+
 def test_links_join_what_all_pairs_join():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
