@@ -27,7 +27,7 @@ from strandloom.llm.common import bounded, row_blocks
 EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
 SCALE, DURATION, MUXER, WRITER = 0x2AD7B1, 0x4489, 0x4D80, 0x5741
 TRACK, NUMBER, UID, KIND, LACING, CODEC, AUDIO, RATE, CHANNELS, DEPTH = 0xAE, 0xD7, 0x73C5, 0x83, 0x9C, 0x86, 0xE1, 0xB5, 0x9F, 0x6264
-TIMESTAMP, SIMPLE, GROUP, BLOCK = 0xE7, 0xA3, 0xA0, 0xA1
+TIMESTAMP, SIMPLE, GROUP, BLOCK, REFERENCE, SPACING = 0xE7, 0xA3, 0xA0, 0xA1, 0xFB, 0x23E383
 POINT, CUE_TIME, POSITIONS, CUE_TRACK, CUE_CLUSTER = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 MASTERS = {EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES, TRACK, AUDIO, GROUP, POINT, POSITIONS}
 TOP = {EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES}
@@ -132,12 +132,16 @@ def parse(data: bytes) -> dict:
     out: dict = {"packets": [], "tracks": {}, "cues": [], "scale": 1_000_000, "duration": 0.0}
     stack: list[tuple[int, int]] = []  # kind, end
     at, cluster, track, cue = 0, 0, [0, ""], [0, 0, 0]
+    sound, spacing, group, refers = {}, {}, 0, False  # of the track being read: its samples; by track: frame times; packets before the group
     uint = lambda a, b: int.from_bytes(data[a:b], "big")
     while at < len(data) or stack:
         while stack and at >= stack[-1][1]:
             kind, _ = stack.pop()
             if kind == TRACK:
                 out["tracks"][track[0]] = track[1]
+                spacing[track[0]] = {**sound}
+            elif kind == GROUP and refers:  # frames that refer to others are no key frames
+                out["packets"][group:] = [(*p[:4], False) for p in out["packets"][group:]]
             elif kind == POSITIONS:
                 out["cues"].append(tuple(cue))
         if at >= len(data):
@@ -154,7 +158,9 @@ def parse(data: bytes) -> dict:
         if kind in MASTERS:
             stack.append((kind, end))
             if kind == TRACK:
-                track = [0, ""]
+                track, sound = [0, ""], {}
+            elif kind == GROUP:
+                group, refers = len(out["packets"]), False
             at = body
             continue
         if kind == TIMESTAMP:
@@ -162,9 +168,21 @@ def parse(data: bytes) -> dict:
         elif kind in (SIMPLE, BLOCK):
             number, relative, flags, ranges = _frames(data, body, end)
             base, scale = cluster + relative, out["scale"]
-            spread = FRAME * 1_000_000_000 // HERTZ if len(ranges) > 1 and out["tracks"].get(number, "").startswith("A_PCM") else 0
+            known, first = spacing.get(number, {}), ranges[0][1] - ranges[0][0]
+            if SPACING in known:
+                spread = known[SPACING]
+            elif out["tracks"].get(number, "").startswith("A_PCM") and known.get(RATE):  # as long as its samples take
+                spread = round(first * 8 * 1_000_000_000 / (known.get(DEPTH) or 8) / (known.get(CHANNELS) or 1) / known[RATE])
+            else:
+                spread = 0
             key = bool(flags & 0x80) or kind == BLOCK
             out["packets"] += [(number, base * scale + k * spread, a, b, key) for k, (a, b) in enumerate(ranges)]
+        elif kind == REFERENCE:
+            refers = True
+        elif kind in (SPACING, CHANNELS, DEPTH):
+            sound[kind] = uint(body, end)
+        elif kind == RATE and end - body in (4, 8):
+            sound[kind] = struct.unpack(">d" if end - body == 8 else ">f", data[body:end])[0]
         elif kind == NUMBER:
             track[0] = uint(body, end)
         elif kind == CODEC:

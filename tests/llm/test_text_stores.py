@@ -163,6 +163,25 @@ def test_matroska_gives_back_payloads(spark):
     assert [r.error is not None for r in matroska.packets(broken).collect()] == [True]
 
 
+def test_matroska_key_frames_rates_and_cues():
+    m = matroska
+    audio = m.element(m.AUDIO, m.element(m.RATE, m.struct.pack(">d", 48000.0)) + m._uint(m.CHANNELS, 2) + m._uint(m.DEPTH, 16))
+    tracks = m.element(m.TRACKS, m.element(m.TRACK, m._uint(m.NUMBER, 1) + m.element(m.CODEC, b"A_PCM/INT/LIT") + audio) + m.element(m.TRACK, m._uint(m.NUMBER, 2) + m.element(m.CODEC, b"V_X") + m._uint(m.SPACING, 40_000_000)))
+    laced = m.element(m.SIMPLE, b"\x81\x00\x00\x84\x01" + b"a" * 384)  # two frames of 192 bytes, 48 samples of 4 bytes: 1 ms each
+    plain = m.element(m.GROUP, m.element(m.BLOCK, b"\x82\x00\x05\x00xy"))
+    refers = m.element(m.GROUP, m.element(m.BLOCK, b"\x82\x00\x07\x04\x01xy") + m.element(m.REFERENCE, b"\xfe"))
+    data = m._HEAD + m.element(m.SEGMENT, tracks + m.element(m.CLUSTER, m._uint(m.TIMESTAMP, 0) + laced + plain + refers))
+    got = [(t, ns, key) for t, ns, _, _, key in m.parse(data)["packets"]]
+    assert got == [(1, 0, True), (1, 1_000_000, True), (2, 5_000_000, True), (2, 7_000_000, False), (2, 47_000_000, False)]
+    payload = bytes(64 * 5000)
+    media = m.write(payload)
+    found = m.parse(media)
+    segment = media.index(m._id(m.SEGMENT)) + 4
+    start = segment + 1 + (8 - media[segment].bit_length())
+    assert len(found["cues"]) == 3 and all(media[start + at :][:4] == m._id(m.CLUSTER) for _, _, at in found["cues"])
+    assert [p[1] for p in found["packets"][:3]] == [0, 8_000_000, 16_000_000]
+
+
 def test_matroska_reads_every_lacing_and_unknown_sizes():
     e, frames = matroska.element, [b"a" * 300, b"b" * 10, b"c" * 7]
     body = b"".join(frames)
