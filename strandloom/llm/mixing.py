@@ -18,12 +18,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from strandloom.llm.common import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, MOST, SEED, BIN = (5, 2, 1), 3, "mix-1", 256
-ADDED = ("size", "source_size", "target", "copies", "taken")
+ADDED = ("source_size", "target", "copies", "taken")
+#: Columns of steps in between, which must not exist either.
+INNER = ("_key", "_first", "_bins", "_rate", "_shift", "_bin", "_ahead", "_n", "_rank", "_at")
 
 
 def _unit(text):
@@ -57,7 +60,7 @@ def source_targets(counts: DataFrame, weights=WEIGHTS, most: int = MOST) -> Data
 
 def sample_copies(df: DataFrame, source: str = "source", doc_id: str = "doc_id", weights=WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """df (with a size column) and per row source_size, target, copies and taken = copies * size."""
-    clash = set(ADDED[1:]) & set(df.columns)
+    clash = {*ADDED, *INNER} & {c.lower() for c in df.columns}
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already")
     key = F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source)))
@@ -89,8 +92,29 @@ def mix_report(docs: DataFrame, source: str = "source", doc_id: str = "doc_id",
 
 
 def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The mixed documents themselves: each row as often as it was drawn, with the columns of docs."""
-    sized = docs.withColumnRenamed("size", "_own_size")
-    drawn = sample_copies(with_size(sized, text), source, doc_id, **options).where("copies > 0")
-    out = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return out.select(*[F.col("_own_size").alias("size") if c == "size" else F.col(c) for c in docs.columns])
+    """The mixed documents themselves: each row as often as it was drawn, with the columns of docs.
+
+    Copies are drawn on slim rows, and whole rows are shuffled once, to meet their copies by id and a hash of the row.
+    Rows alike in all columns go on as one row, drawn as often as all of them together.
+    """
+    own, key, of_id, copies = _free_names(docs, "row", "key", "of_id", "copies")
+    hashed = F.xxhash64(*[F.map_entries(f.name) if isinstance(f.dataType, MapType) else F.col(f.name) for f in docs.schema])
+    sized = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    slim = staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), hashed.alias(own), sized.alias("size")), "sizes")
+    drawn = sample_copies(slim, **options).groupBy("doc_id", own).agg(F.sum("copies").alias(copies), F.count("*").alias("rows"))
+    drawn = staged(drawn.where(F.col(copies) > 0).select(F.col("doc_id").alias(of_id), F.col(own).alias(key), copies, "rows"), "drawn", slim=True)
+    met = lambda part: docs.withColumn(own, hashed).join(part.drop("rows"), F.col(doc_id).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(key)))
+    repeated = drawn.where("rows > 1")
+    out = met(drawn)
+    if not repeated.isEmpty():
+        out = met(drawn.where("rows = 1")).unionByName(met(repeated).dropDuplicates([of_id, key]))
+    return out.withColumn(of_id, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)
+
+
+def _free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names with underscores in front until no column of df is called so."""
+    held = {c.lower() for c in df.columns}
+    ahead = "_"
+    while any(ahead + n in held for n in names):
+        ahead += "_"
+    return [ahead + n for n in names]

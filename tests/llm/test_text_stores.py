@@ -212,6 +212,33 @@ def test_mix_takes_what_targets_ask(spark):
     mixed = mixing.mix(df)
     assert mixed.columns == df.columns and mixed.count() == sum(r.copies for r in out)
     assert mixing.mix(df.limit(0)).count() == 0
+    drawn = {}
+    for r in out:
+        drawn[r.doc_id] = drawn.get(r.doc_id, 0) + r.copies
+    got = {}
+    for r in mixed.collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + 1
+    assert got == {k: n for k, n in drawn.items() if n}
+
+
+def test_mix_of_repeated_rows_and_clashing_names(spark):
+    """Rows alike in all columns come as often as all of them were drawn; names of inner columns may be taken."""
+    fields = "doc_id long, text string, source string, size string, copies long, _row string, _key string, rows long, m map<string,int>"
+    rows = [(i, f"w{i} " * (5 + i % 3), "ab"[i % 2], "s", i, "r", None, 1, {"k": i}) for i in range(300)]
+    rows += [(7, "same text", "a", None, None, None, "k", None, None)] * 90 + [(None, "same text", None, None, None, None, "k", None, {})] * 40
+    rows += [(8, "one id", "a", None, None, None, None, None, {"k": k}) for k in range(30)]
+    df = spark.createDataFrame(rows, fields)
+    report, mixed = mixing.mix_report(df).collect(), mixing.mix(df)
+    assert mixed.columns == df.columns and mixed.schema == df.schema
+    drawn, got = {}, {}
+    for r in report:
+        drawn[r.doc_id] = drawn.get(r.doc_id, 0) + r.copies
+    out = mixed.collect()
+    for r in out:
+        got[r.doc_id] = got.get(r.doc_id, 0) + 1
+    assert got == {k: n for k, n in drawn.items() if n} and len(out) == sum(drawn.values())
+    given = {repr(r) for r in df.collect()}
+    assert {repr(r) for r in out} <= given
 
 
 def test_mix_levels_like_repeated_sharing(spark):
