@@ -14,7 +14,11 @@ from strandloom.llm.common import staged
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is under a half; the model is fitted on this stage's own documents and the labels table."""
+    """Documents whose toxicity score is under a half; the model is fitted on this stage's own documents and the labels table.
+
+    Null and empty texts are scored as texts without offending words, and repeated rows alike; without labelled rows of both
+    kinds every text scores the share of toxic labels; an empty table stays empty.
+    """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model, out="_toxicity").where("_toxicity < 0.5").select(*docs.columns)
 
@@ -25,15 +29,20 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with a kind's name in place of each span of personal data; no row goes, null texts stay null, an empty table stays empty."""
     return pii.mask(docs, pii.fit(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks; documents without words are drawn at their source's rate, too.
+
+    Null sources are one source; rows alike in all columns are drawn together; a source without words takes nothing.
+    """
     return mixing.mix(docs)
 
 
 def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for each mixed copy: doc_id, source, lang, token_ids."""
+    """One row for each mixed copy: doc_id, source, lang, token_ids. Null and empty texts have no ids; an empty table gives no rows."""
     slim = docs.select("doc_id", "source", "lang", "text")
     return bpe.encode(slim, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
 
