@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,11 @@ from strandloom.llm.common import bounded, ragged, row_blocks
 
 #: Pieces that one worker remembers; beyond that it starts afresh.
 CACHED_PIECES = 600_000
+#: Text that one worker encodes at a time: a piece is looked up once for each block that holds it.
+ENCODED_BYTES = 4 << 20
 _CUT = re.compile(r"(?= \S)")
-_LATIN = re.compile(r"[\0\1]?[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]?")
+_WORD = r"^[\x00\x01]?[A-Za-zÀ-ÖØ-öø-ɏ]+$"
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_alphabet() -> list[str]:
@@ -99,6 +103,17 @@ class _Index(dict):
         return number
 
 
+def _strings(array: pa.Array) -> list[str]:
+    """The strings of an array without nulls."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def _numbered(array: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The different strings of an array and for each place the number of its own."""
+    coded = array.dictionary_encode()
+    return _strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
+
+
 class PieceEncoder:
     """Encodes blocks of texts; a piece is a text's head, or a space or line end with what follows it up to the next.
 
@@ -109,11 +124,14 @@ class PieceEncoder:
     """
 
     def __init__(self, tokenizer, cached: int = CACHED_PIECES):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.tokenizer, self.cached = tokenizer, cached
         self.bytes = bytes_of_ids(tokenizer)
-        self.opens = np.array([bool(b) and b[:1] == b" " for b in self.bytes], bool)
         chars = byte_alphabet()
         self.spelling = {b: chars[b] for b in range(256)}
+        self.merger = Tokenizer(tokenizer.model)  # the merges alone, of words in the alphabet's spelling, parted by line ends of that spelling
+        self.merger.pre_tokenizer = pre_tokenizers.Split(chars[10], "isolated")
         self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.index, self.used = _Index(), 0
         self.starts, self.counts, self.hits, self.flat = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 16, np.int32)
@@ -137,72 +155,108 @@ class PieceEncoder:
     def _learn(self) -> None:
         """Ids of the pieces that the index has just numbered.
 
-        A word of Latin letters is one match of the split, alone or with one point or comma after it, and goes to the
-        merges directly; others go through the whole tokenizer.
+        A word of Latin letters is one match of the split and a run of signs at its end another, so the different words go
+        to the merges directly, all in one call that tells whose each id is; other pieces go through the whole tokenizer.
         """
         fresh, self.index.fresh = self.index.fresh, []
-        first = len(self.index) - len(fresh)
-        ids: list = [None] * len(fresh)
-        match = _LATIN.fullmatch
-        plain = [i for i, w in enumerate(fresh) if w.isascii() and w.isalpha() or match(w)]
-        heads, tails = {"\0": [], "\1": self.whole(["\n"])[0]}, {c: self.whole([c])[0] for c in ".,"}
-        bare = [fresh[i] if fresh[i][-1] not in tails else fresh[i][:-1] for i in plain]
-        spelled = "\n".join([" " + w if w[0] not in heads else w[1:] for w in bare]).encode().decode("latin-1").translate(self.spelling).split(self.spelling[10]) if bare else []
-        merge, starts, counts, flat, get = self.tokenizer.model.tokenize, self.starts, self.counts, self.flat, self.index.get
-        for i, stem, shown in zip(plain, bare, spelled, strict=True):
-            w = fresh[i]
-            at = get(stem) if stem is not w else None
-            if at is not None and at < first:
-                own = flat[starts[at] : starts[at] + counts[at]].tolist()
-            elif at is not None and ids[at - first] is not None:
-                own = ids[at - first]
-            else:
-                own = [t.id for t in merge(shown)]
-                if stem[0] in heads:
-                    own = heads[stem[0]] + own
-            ids[i] = own if stem is w else own + tails[w[-1]]
-        rest = [i for i, x in enumerate(ids) if x is None]
+        n, known, get = len(fresh), len(self.index) - len(fresh), self.index.get
+        shown = pa.array(fresh, pa.large_string())
+        stems = pc.utf8_rtrim(shown, _SIGNS)
+        plain = pc.match_substring_regex(stems, _WORD).to_numpy(zero_copy_only=False)
+        signed = plain & pc.not_equal(pc.binary_length(stems), pc.binary_length(shown)).to_numpy(zero_copy_only=False)
+        words, of_word = _numbered(stems.filter(pa.array(plain)))
+        tails, of_tail = _numbered(pa.array([fresh[i][len(w) :] for i, w in zip(np.flatnonzero(signed).tolist(), _strings(stems.filter(pa.array(signed))), strict=True)], pa.large_string()))
+        rest = np.flatnonzero(~plain).tolist()
         texts = [fresh[i][1:] if fresh[i][:1] == "\0" else "\n" + fresh[i][1:] if fresh[i][:1] == "\1" else " " + fresh[i] for i in rest]
-        for i, x in zip(rest, self.whole(texts), strict=True):
-            ids[i] = x
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        need, n = self.used + int(sizes.sum()), len(self.index)
+        # Each piece is a head, a word and a tail: their places in the pool of ids, which begins with those learnt before.
+        at = np.fromiter((get(w, known) for w in words), np.int64, len(words))
+        new = at >= known
+        unknown = [words[k] for k in np.flatnonzero(new).tolist()]
+        merged, n_unknown = self._merged(unknown)
+        others = self.whole([*texts, *tails, "\n"])
+        n_others = np.fromiter(map(len, others), np.int64, len(others))
+        pool = np.concatenate([self.flat[: self.used], merged, np.fromiter(chain.from_iterable(others), np.int32, int(n_others.sum()))])
+        begins = self.used + np.cumsum(np.concatenate([n_unknown, n_others]))
+        begins -= np.concatenate([n_unknown, n_others])
+        at_others, at_words, n_words = begins[len(unknown) :], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        at_words[new], n_words[new] = begins[: len(unknown)], n_unknown
+        at_words[~new], n_words[~new] = self.starts[at[~new]], self.counts[at[~new]]
+        after_line = new & np.array([w[0] == "\1" for w in words], bool)
+        starts, counts = np.zeros((n, 3), np.int64), np.zeros((n, 3), np.int64)
+        starts[plain, 0], counts[plain, 0] = at_others[-1], after_line[of_word] * n_others[-1]
+        starts[plain, 1], counts[plain, 1] = at_words[of_word], n_words[of_word]
+        starts[rest, 1], counts[rest, 1] = at_others[: len(rest)], n_others[: len(rest)]
+        starts[signed, 2], counts[signed, 2] = at_others[len(rest) + of_tail], n_others[len(rest) + of_tail]
+        self._file(pool[ragged(starts.ravel(), counts.ravel())], counts.sum(axis=1))
+
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, one word's after another's, and how many each has."""
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        shown = "\n".join([" " + w if w[0] not in "\0\1" else w[1:] for w in words]).encode().decode("latin-1").translate(self.spelling)
+        made = np.array(self.merger.encode_batch_fast([shown], add_special_tokens=False)[0].ids, np.int32)
+        parted = np.flatnonzero(made == self.merger.token_to_id(self.spelling[10]))  # no word holds a line end
+        return np.delete(made, parted), np.diff(parted - np.arange(len(parted)), prepend=0, append=len(made) - len(parted))
+
+    def _file(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Store the ids of the last pieces of the index."""
+        need, n = self.used + len(ids), len(self.index)
+        first = n - len(sizes)
         while len(self.starts) < n:
             self.starts, self.counts, self.hits = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.starts, self.counts, self.hits))
         while len(self.flat) < need:
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.int32)])
-        self.flat[self.used : need] = np.fromiter(chain.from_iterable(ids), np.int32, need - self.used)
+        self.flat[self.used : need] = ids
         self.counts[first:n] = sizes
         self.starts[first:n] = self.used + np.cumsum(sizes) - sizes
         self.used = need
 
     def block(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and each text's first position among them (one more entry at the end)."""
+        """All ids one after another, and each text's first position among them (one more entry at the end).
+
+        The words of texts without odd white space are split and numbered as one Arrow array, so that the index is asked
+        once for each different word of the block.
+        """
         if len(self.index) > self.cached:
             self._shrink()
-        words: list[str] = []
-        ends: list[int] = []
+        even: list[str] = []  # words parted by single spaces
+        odd: list[str] = []
+        place = np.zeros((len(texts), 2), np.int64)  # a text's first piece and their number; places of odd ones are moved behind the others' below
+        of_even: list[int] = []
+        of_odd: list[int] = []
         apart: dict[int, np.ndarray] = {}
         for k, text in enumerate(texts):
-            if text and any(a in text for a in self.added):
+            if not text:
+                continue
+            if any(a in text for a in self.added):
                 apart[k] = np.array(self.whole([text])[0], dtype=np.int32)
-            elif text:
-                lines = text.split("\n")
-                if "  " not in text and all(x.isprintable() and x and x[0] != " " and x[-1] != " " for x in lines):
-                    lines[0] = "\0" + lines[0]
-                    words.extend(" \1".join(lines).split(" "))
-                elif "\0" in text or "\1" in text:
-                    apart[k] = np.array(self.whole([text])[0], dtype=np.int32)
-                else:
-                    words.extend(p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else "\0" + p for p in _CUT.split(text) if p)
-            ends.append(len(words))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+                continue
+            lines = text.split("\n")
+            if "  " not in text and all(x.isprintable() and x and x[0] != " " and x[-1] != " " for x in lines):
+                even.append("\0" + " \1".join(lines))
+                of_even.append(k)
+            elif "\0" in text or "\1" in text:
+                apart[k] = np.array(self.whole([text])[0], dtype=np.int32)
+            else:
+                pieces = [p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else "\0" + p for p in _CUT.split(text) if p]
+                place[k] = len(odd), len(pieces)
+                of_odd.append(k)
+                odd.extend(pieces)
+        split = pc.split_pattern(pa.array(even, pa.large_string()), " ")
+        words, of_word = _numbered(split.flatten())
+        place[of_even, 1] = counts = split.value_lengths().to_numpy(zero_copy_only=False)
+        place[of_even, 0] = np.cumsum(counts, dtype=np.int64) - counts
+        place[of_odd, 0] += len(of_word)
+        get = self.index.__getitem__
+        at = np.fromiter(map(get, words), np.int64, len(words))[of_word]
+        if odd:
+            at = np.concatenate([at, np.fromiter(map(get, odd), np.int64, len(odd))])[ragged(place[:, 0], place[:, 1])]
         if self.index.fresh:
             self._learn()
         self.hits[: len(self.index)] += np.bincount(at, minlength=len(self.index))
         counts = self.counts[at]
         ids = self.flat[ragged(self.starts[at], counts)]
-        bounds = np.concatenate([[0], np.concatenate([[0], np.cumsum(counts)])[np.array(ends, dtype=np.int64)]]) if ends else np.zeros(1, np.int64)
+        bounds = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(place[:, 1])])]
         if apart:
             parts = [apart.get(k, ids[bounds[k] : bounds[k + 1]]) for k in range(len(texts))]
             ids, bounds = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
@@ -246,7 +300,7 @@ def encode(df: DataFrame, path: str, pattern: str | None = None, text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
-        for block in row_blocks(batches, text):
+        for block in row_blocks(batches, text, ENCODED_BYTES):
             ids, bounds = enc.block(block.column(text).to_pylist())
             columns = [*block.columns, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
             names = [*block.schema.names, out]
@@ -286,7 +340,7 @@ def round_trip(df: DataFrame, path: str, pattern: str | None = None, doc_id: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
         table, shown = enc.bytes, [str(i) for i in range(len(enc.bytes))]
-        for block in row_blocks(batches, "text"):
+        for block in row_blocks(batches, "text", ENCODED_BYTES):
             ids, bounds = enc.block(block.column("text").to_pylist())
             counts, spelled, decoded = np.diff(bounds), [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandloom.llm.bpe import _ENCODERS, encoder
+from strandloom.llm.bpe import _ENCODERS, ENCODED_BYTES, encoder
 from strandloom.llm.common import bounded, row_blocks, shuffle_width, work_dir
 
 WINDOW, MASK, LEAST, MOST, DIGEST = 8, (1 << 9) - 1, 64, 4096, 16
@@ -145,7 +145,7 @@ def write_store(df: DataFrame, folder: str, vocabulary: str, end_id: int = 0, do
 
         enc, press, seen = encoder(vocabulary), zstandard.ZstdCompressor(level=1), set()
         names, kinds = ["kind", "key", "doc_id", "n", "body", "root"], (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        for block in row_blocks(batches, "text"):
+        for block in row_blocks(batches, "text", ENCODED_BYTES):
             ids, bounds = enc.block(block.column("text").to_pylist())
             ids = np.insert(ids, bounds[1:], end_id).astype("<u4")  # each document's end id
             bounds = bounds + np.arange(len(bounds))

@@ -93,6 +93,19 @@ def test_store_gives_back_every_stream(spark):
     assert chunk_store.store_round_trip(df.limit(0), path).count() == 0
 
 
+def test_pieces_of_words_and_signs_are_the_librarys():
+    made = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    parts = ["word", "Straße", "ɏʰ", "it's", "'tis", "x'", "a1", "中文", "0", "é"], ["", ".", ",", "###", "!?", "'", "'s", "_", "…", ".5", "\n", "\n.", " ", "\0", "\1"]
+    texts = [f"{a}{s} {b}{t}\n{a}{t}" for a in parts[0] for b in parts[0][:5] for s in parts[1] for t in parts[1]]
+    for texts in (texts, texts[::-1]):
+        for size in (1, 97):
+            own = bpe.PieceEncoder(made, cached=2000)
+            for k in range(0, len(texts) if size > 1 else 300, size):
+                ids, bounds = own.block(texts[k : k + size])
+                assert np.split(ids, bounds[1:-1])[0].tolist() == made.encode(texts[k]).ids
+                assert ids.tolist() == [i for t in texts[k : k + size] for i in made.encode(t, add_special_tokens=False).ids]
+
+
 def test_special_tokens_and_repeated_rows_are_stored_as_the_library_gives_them(spark):
     path = P.path("byte_bpe_50k.json")
     made = Tokenizer.from_file(path)
