@@ -117,20 +117,20 @@ def sql_haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"(2 * 6371.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, power(sin((radians({lat2}) - radians({lat1})) / 2), 2.0::DOUBLE) + cos(radians({lat1})) * cos(radians({lat2})) * power(sin((radians({lon2}) - radians({lon1})) / 2), 2.0::DOUBLE)))))"
 
 
-def column_letters(n, most: int = 4) -> Column:
-    """Spreadsheet letters of a column number from 1: bijective base 26, for up to `most` letters."""
-    n, out = col(n).cast("long"), F.lit("")
-    for _ in range(most):
-        letter = F.when(n > 0, F.chr(((n - 1) % 26 + 65).cast("int"))).otherwise(F.lit(""))
-        out = F.concat(letter, out)
-        n = F.when(n > 0, F.floor((n - 1) / 26)).otherwise(F.lit(0))
-    return out
+def column_letters(n) -> Column:
+    """Spreadsheet letters of a column number from 1, any long: bijective base 26. Null stays null, numbers under 1 have no letters."""
+    n, out = col(n).cast("long"), []
+    for place in range(13, -1, -1):
+        first = (26 ** (place + 1) - 1) // 25  # the smallest number with a letter at this place
+        digit = F.call_function("div", n - F.lit(first), F.lit(26**place)) % 26
+        out.append(F.when(n >= first, F.chr(digit + 65)).when(n.isNotNull(), ""))
+    return F.concat(*out)
 
 
 def column_number(letters) -> Column:
     """The number of spreadsheet letters."""
     chars = F.filter(F.split(F.upper(col(letters)), ""), lambda c: c != "")
-    return F.aggregate(chars, F.lit(0).cast("long"), lambda acc, c: acc * 26 + F.ascii(c) - 64)
+    return F.aggregate(chars, F.lit(0).cast("long"), lambda acc, c: acc * 26 + (F.ascii(c) - 64))
 
 
 def short_example(c, width: int = 60) -> Column:

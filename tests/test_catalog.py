@@ -78,6 +78,23 @@ def test_letters_and_numbers(spark):
     assert df.where(X.column_number("c") != F.col("n")).count() == 0
 
 
+def test_wide_column_numbers(spark):
+    known = {475254: "ZZZZ", 475255: "AAAAA", 1200000: "BPGCV", 2**53 + 3: "BKTXHSOGHKKI", 2**63 - 1: "CRPXNLSKVLJFHG", 0: "", None: None}
+    assert {n: _letters(n) for n in known} == known
+    df = spark.createDataFrame([(n,) for n in known], "n long").select("n", X.column_letters("n").alias("c"))
+    assert {r.n: r.c for r in df.collect()} == known
+    assert df.where(~X.column_number("c").eqNullSafe(F.col("n"))).count() == 0
+
+
+def _letters(n):
+    """The reference's loop."""
+    out = ""
+    while n and n > 0:
+        n, r = divmod(n - 1, 26)
+        out = chr(65 + r) + out
+    return None if n is None else out
+
+
 def test_field_paths(spark):
     known = {"geo_latitude": ("geo", None, None, "latitude", "dataset"), "pub2_title": ("pub", 2, None, "title", "dataset"), "paleoData_units": ("column", None, None, "units", "column"), "climateInterpretation2_variable": ("interpretation", 2, "climate", "variable", "column"),
              "interpretation1_scope": ("interpretation", 1, None, "scope", "column"), "calibration_method": ("calibration", None, None, "method", "column"), "archiveType": ("root", None, None, "archiveType", "dataset")}
