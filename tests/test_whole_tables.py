@@ -1,7 +1,10 @@
 """Whole-table queries compare rows that fixed ids would leave out."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from strandloom.functions import expr as X
+from strandloom.operators import dedupe
 from strandloom.plans.library import QUERIES
 
 
@@ -30,6 +33,30 @@ def test_all_sites_are_paired(spark, folder):
     assert {(r.id, r.id_b) for r in QUERIES["haversine_pairs"](spark, at).collect()} == wanted | {(i, "origin") for i in ("c20", "c31", "c42", "s5")}
 
 
+def test_rows_of_one_key_meet_in_many_tasks(spark, folder, tmp_path):
+    folder("supplier", [], "s_suppkey long, s_name string, s_nationkey long")
+    at = f"file://{tmp_path}"
+    spark.range(2500).selectExpr("id as c_custkey", "'x' as c_mktsegment", "id % 25 as c_nationkey").coalesce(1).write.parquet(f"{at}/customer.parquet")
+    for name in ("haversine_pairs",):
+        pairs = QUERIES[name](spark, at).where("id_b <> 'origin'")
+        assert pairs.where("id < id_b").select("id", "id_b").distinct().count() == pairs.count() == 2500 * 2499 // 2
+        assert pairs.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_pairs_of_a_key_by_plain_join(spark):
+    rows = [(f"r{i % 40}", "k" if i % 3 else "m", float(i)) for i in range(60)] + [("z", None, 1.0), (None, "k", 1.0)]
+    df = spark.createDataFrame(rows, "id string, name string, v double")
+    got = dedupe.key_pairs(df, "name", lambda a, b: F.abs(F.col(a("v")) - F.col(b("v"))), block=7)
+    wanted = [(a[0], b[0], abs(a[2] - b[2])) for a in rows for b in rows if a[0] and b[0] and a[0] < b[0] and a[1] and a[1] == b[1]]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(wanted)
+
+
+def test_rounded_doubles(spark):
+    known = {0.0078125: 0.007813, 2.0: 2.0, 1e300: 1e300, float("inf"): float("inf"), None: None}
+    df = spark.createDataFrame([(x,) for x in known], "x double").select("x", X.rounded("x", 6).alias("y"))
+    assert {r.x: r.y for r in df.collect()} == known
+
+
 def test_late_orders_are_offered(spark, folder):
     at = folder("orders", [(70001, 1), (70002, 1)], "o_orderkey long, o_custkey long")
     assert {r.name for r in QUERIES["offer"](spark, at).collect()} == {"N70001", "N70002"}
