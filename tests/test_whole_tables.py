@@ -37,7 +37,7 @@ def test_rows_of_one_key_meet_in_many_tasks(spark, folder, tmp_path):
     folder("supplier", [], "s_suppkey long, s_name string, s_nationkey long")
     at = f"file://{tmp_path}"
     spark.range(2500).selectExpr("id as c_custkey", "'x' as c_mktsegment", "id % 25 as c_nationkey").coalesce(1).write.parquet(f"{at}/customer.parquet")
-    for name in ("haversine_pairs",):
+    for name in ("haversine_pairs", "interval_overlap"):
         pairs = QUERIES[name](spark, at).where("id_b <> 'origin'")
         assert pairs.where("id < id_b").select("id", "id_b").distinct().count() == pairs.count() == 2500 * 2499 // 2
         assert pairs.select(F.spark_partition_id()).distinct().count() > 1
