@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from strandloom.llm import decided
 from strandloom.llm.common import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -94,14 +95,21 @@ def mix_report(docs: DataFrame, source: str = "source", doc_id: str = "doc_id",
 def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The mixed documents themselves: each row as often as it was drawn, with the columns of docs.
 
-    Copies are drawn on slim rows, and whole rows are shuffled once, to meet their copies by id and a hash of the row.
+    Copies are drawn on slim rows, and whole rows meet them by id and a hash of the row in the partition that they were
+    read in; only where workers can't open the shared folder are whole rows shuffled, once.
     Rows alike in all columns go on as one row, drawn as often as all of them together.
     """
-    own, key, of_id, copies = _free_names(docs, "row", "key", "of_id", "copies")
+    docs = decided.steady(docs)
+    own, key, of_id, copies, part = decided.free_names(docs, "row", "key", "of_id", "copies", "part")
     hashed = F.xxhash64(*[F.map_entries(f.name) if isinstance(f.dataType, MapType) else F.col(f.name) for f in docs.schema])
     sized = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    slim = staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), hashed.alias(own), sized.alias("size")), "sizes")
-    drawn = sample_copies(slim, **options).groupBy("doc_id", own).agg(F.sum("copies").alias(copies), F.count("*").alias("rows"))
+    slim = staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), hashed.alias(own), decided.part().alias(part), sized.alias("size")), "sizes")
+    drawn = sample_copies(slim, **options).groupBy("doc_id", own).agg(F.sum("copies").alias(copies), F.count("*").alias("rows"), F.collect_set(part).alias(part))
+    if decided.reachable(docs.sparkSession):
+        placed = drawn.select("doc_id", own, copies, F.array_min(part).alias("first"), F.explode(part).alias("part"))
+        wanted = placed.select("part", "doc_id", own, F.when(F.col("part") == F.col("first"), F.col(copies)).otherwise(0).alias("copies"))
+        keyed = docs.withColumns({of_id: F.col(doc_id), own: hashed, part: decided.part()})
+        return decided.taken(keyed, wanted, docs.columns, [of_id, own], part, text, once=True)
     drawn = staged(drawn.where(F.col(copies) > 0).select(F.col("doc_id").alias(of_id), F.col(own).alias(key), copies, "rows"), "drawn", slim=True)
     met = lambda part: docs.withColumn(own, hashed).join(part.drop("rows"), F.col(doc_id).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(key)))
     repeated = drawn.where("rows > 1")
@@ -109,12 +117,3 @@ def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: s
     if not repeated.isEmpty():
         out = met(drawn.where("rows = 1")).unionByName(met(repeated).dropDuplicates([of_id, key]))
     return out.withColumn(of_id, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)
-
-
-def _free_names(df: DataFrame, *names: str) -> list[str]:
-    """The names with underscores in front until no column of df is called so."""
-    held = {c.lower() for c in df.columns}
-    ahead = "_"
-    while any(ahead + n in held for n in names):
-        ahead += "_"
-    return [ahead + n for n in names]

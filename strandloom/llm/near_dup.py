@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.llm import decided
 from strandloom.llm.common import bounded, ragged, row_blocks, staged
 from strandloom.llm.components import components
 
@@ -126,8 +127,8 @@ def set_key(values: np.ndarray) -> bytes:
 
 
 def sketches(df: DataFrame, width: int) -> DataFrame:
-    """doc_id, mark, n_shingles, key, paths, sig, wide; the last four are null for an empty set. df has doc_id, mark and text."""
-    names = ["doc_id", "mark", "n_shingles", "key", "paths", "sig", "wide"]
+    """doc_id, mark, part, n_shingles, key, paths, sig, wide; the last four are null for an empty set. df has doc_id, mark, part and text."""
+    names = ["doc_id", "mark", "part", "n_shingles", "key", "paths", "sig", "wide"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in row_blocks(batches, "text"):
@@ -138,10 +139,10 @@ def sketches(df: DataFrame, width: int) -> DataFrame:
                 tokens, values, long = minwise([sets[k] for k in full])
                 for i, k in enumerate(full):
                     keys[k], sigs[k], paths[k], wide[k] = set_key(sets[k]), values[i].tobytes(), tokens[i].view(np.int64).tolist(), long[i].tobytes()
-            columns = [block.column("doc_id"), block.column("mark"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(paths, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(wide, pa.binary())]
+            columns = [block.column("doc_id"), block.column("mark"), block.column("part"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(paths, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), pa.array(wide, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return df.transform(bounded).mapInArrow(run, "doc_id long, mark long, n_shingles long, key binary, paths array<long>, sig binary, wide binary")
+    return df.transform(bounded).mapInArrow(run, "doc_id long, mark long, part int, n_shingles long, key binary, paths array<long>, sig binary, wide binary")
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
@@ -262,9 +263,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
 
 
 def _labelled(docs: DataFrame, width: int, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """near_duplicates with mark, a hash of the row's text, and label, which names its component (null without shingles)."""
+    """near_duplicates with mark, a hash of the row's text, part, the partition that it was read in, and label, which names its component (null without shingles)."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sketch = staged(sketches(slim.select("doc_id", F.xxhash64("text").alias("mark"), "text"), width).withColumn("node", F.xxhash64("key")), "sketches")
+    sketch = staged(sketches(slim.select("doc_id", F.xxhash64("text").alias("mark"), decided.part().alias("part"), "text"), width).withColumn("node", F.xxhash64("key")), "sketches")
     full = sketch.where("n_shingles > 0")
     once = [F.first(c).alias(n) for c, n in (("node", "node"), ("n_shingles", "n"), ("paths", "paths"), ("sig", "sig"), ("wide", "wide"))]
     classes = staged(full.groupBy("key").agg(F.min("doc_id").alias("rep"), *once).drop("key"), "classes")
@@ -289,9 +290,9 @@ def _labelled(docs: DataFrame, width: int, percent: int, doc_id: str = "doc_id",
     named = classes.join(labels, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_class = named.join(staged(least, "least", slim=True), "label").select("node", "label", "component_id")
-    out = sketch.select("doc_id", "mark", "n_shingles", "node").join(staged(of_class, "components", slim=True), "node", "left")
+    out = sketch.select("doc_id", "mark", "part", "n_shingles", "node").join(staged(of_class, "components", slim=True), "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "mark", "n_shingles", "label", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return out.select("doc_id", "mark", "part", "n_shingles", "label", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def _groups(classes: DataFrame, low: int, high: int, percent: int) -> DataFrame:
@@ -401,11 +402,20 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Rows without shingles or without an id all stay; of rows with one id and one text one stays.
     """
     names = docs.columns
-    found = staged(_labelled(docs, width, percent).where("n_shingles > 0 and doc_id is not null").select("doc_id", "mark", "label"), "rows")
+    docs = decided.steady(docs)
+    linked = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("label"))
+    rows = staged(_labelled(docs, width, percent).select("part", "doc_id", "mark", linked.alias("label")), "rows")
+    found = rows.where("label is not null")
     first = staged(found.groupBy("label").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts", slim=True)
-    lost = found.join(first, "label").where(F.struct("doc_id", "mark") != F.col("first")).select(F.col("doc_id").alias("_lost_id"), F.col("mark").alias("_lost_mark")).distinct()
-    lost = staged(lost, "dropped", slim=True)
-    left = docs.join(lost, (docs["doc_id"].cast("long") == F.col("_lost_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_lost_mark")), "left_anti")
+    if decided.reachable(docs.sparkSession):
+        kept = rows.join(first, "label", "left").select("part", "doc_id", "mark", F.when(F.struct("doc_id", "mark") != F.col("first"), 0).otherwise(1).alias("copies"))
+        id_, mark, part = decided.free_names(docs, "id", "mark", "part")
+        keyed = docs.withColumns({id_: F.col("doc_id").cast("long"), mark: F.xxhash64(F.col("text").cast("string")), part: decided.part()})
+        left = decided.taken(keyed, kept, names, [id_, mark], part, "text")
+    else:
+        lost = found.join(first, "label").where(F.struct("doc_id", "mark") != F.col("first")).select(F.col("doc_id").alias("_lost_id"), F.col("mark").alias("_lost_mark")).distinct()
+        lost = staged(lost, "dropped", slim=True)
+        left = docs.join(lost, (docs["doc_id"].cast("long") == F.col("_lost_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_lost_mark")), "left_anti")
     again = staged(found.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_again_id")).distinct(), "again", slim=True)
     if again.isEmpty():
         return left.select(*names)
