@@ -26,12 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import bounded, ragged, row_blocks
+from strandloom.llm.common import BLOCK_BYTES, bounded, give_back, ragged, row_blocks
 
 #: Pieces that one worker remembers; beyond that it starts afresh.
 CACHED_PIECES = 600_000
 #: Text that one worker encodes at a time: a piece is looked up once for each block that holds it.
 ENCODED_BYTES = 4 << 20
+#: Pieces remembered where ids go on with the texts: more are encoded again, but a worker stays small beside those that the stages before have left.
+SLIM_PIECES = 200_000
 _CUT = re.compile(r"(?= \S)")
 _WORD = r"^[\x00\x01]?[A-Za-zÀ-ÖØ-öø-ɏ]+$"
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -266,8 +268,8 @@ class PieceEncoder:
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(path: str, pattern: str | None = None) -> PieceEncoder:
-    """The worker's encoder for a vocabulary file: a tokenizers JSON, or ranks together with a split pattern."""
+def encoder(path: str, pattern: str | None = None, cached: int = CACHED_PIECES) -> PieceEncoder:
+    """The worker's encoder for a vocabulary file: a tokenizers JSON, or ranks together with a split pattern. It remembers up to cached pieces from now on."""
     if (path, pattern) not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -276,7 +278,8 @@ def encoder(path: str, pattern: str | None = None) -> PieceEncoder:
             made = Tokenizer.from_file(path)
         else:
             made = tokenizer_from_ranks(read_ranks(path), pattern)
-        _ENCODERS[path, pattern] = PieceEncoder(made)
+        _ENCODERS[path, pattern] = PieceEncoder(made, cached)
+    _ENCODERS[path, pattern].cached = cached
     return _ENCODERS[path, pattern]
 
 
@@ -299,8 +302,8 @@ def encode(df: DataFrame, path: str, pattern: str | None = None, text: str = "te
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + extra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, pattern)
-        for block in row_blocks(batches, text, ENCODED_BYTES):
+        enc = encoder(path, pattern, SLIM_PIECES)
+        for block in row_blocks(batches, text, BLOCK_BYTES):
             ids, bounds = enc.block(block.column(text).to_pylist())
             columns = [*block.columns, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
             names = [*block.schema.names, out]
@@ -309,6 +312,8 @@ def encode(df: DataFrame, path: str, pattern: str | None = None, text: str = "te
                 columns += [pa.array([[x[k] for x in s] for s in spans], pa.list_(pa.int32())) for k in (0, 1)]
                 names += ["token_starts", "token_ends"]
             yield pa.RecordBatch.from_arrays(columns, names)
+            del block, ids, bounds, columns
+            give_back()
 
     return df.transform(bounded).mapInArrow(run, fields)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -79,8 +80,19 @@ def hash_share(column: str, seed: int):
     return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def give_back() -> None:
+    """Return freed memory to the system where the C library can: a worker outlives its tasks and counts with its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def row_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that the given text or binary column holds about limit bytes in each (a longer row is alone)."""
+    """Cut Arrow batches so that the given text or binary column holds about limit bytes in each (a longer row is alone).
+
+    Memory that the last batches left free goes back to the system with the end of the batches.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -94,6 +106,7 @@ def row_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOC
         yield batch.slice(begin)
         del batch
         pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
