@@ -51,6 +51,21 @@ def test_pairs_of_a_key_by_plain_join(spark):
     assert sorted(tuple(r) for r in got.collect()) == sorted(wanted)
 
 
+def records_shuffled(spark):
+    """Records written to shuffles by all stages of the session so far."""
+    sc = spark.sparkContext
+    listed = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(listed.apply(i).shuffleWriteRecords() for i in range(listed.size()))
+
+
+def test_rows_of_one_key_are_not_copied_for_each_block(spark):
+    df = spark.range(2000).selectExpr("concat('r', id) as id", "'k' as name", "cast(id as double) as v")
+    before = records_shuffled(spark)
+    pairs = dedupe.key_pairs(df, "name", lambda a, b: F.abs(F.col(a("v")) - F.col(b("v"))), block=50)
+    assert pairs.count() == 2000 * 1999 // 2
+    assert 2000 <= records_shuffled(spark) - before < 5 * 2000
+
+
 def test_rounded_doubles(spark):
     known = {0.0078125: 0.007813, 2.0: 2.0, 1e300: 1e300, float("inf"): float("inf"), None: None}
     df = spark.createDataFrame([(x,) for x in known], "x double").select("x", X.rounded("x", 6).alias("y"))
