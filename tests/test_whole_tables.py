@@ -66,6 +66,15 @@ def test_rows_of_one_key_are_not_copied_for_each_block(spark):
     assert 2000 <= records_shuffled(spark) - before < 5 * 2000
 
 
+def test_overlaps_of_many_blocks_shuffle_rows_not_copies(spark, folder, tmp_path):
+    folder("supplier", [], "s_suppkey long, s_name string, s_nationkey long")
+    at = f"file://{tmp_path}"
+    spark.range(9000).selectExpr("id as c_custkey", "'x' as c_mktsegment", "id % 25 as c_nationkey").coalesce(1).write.parquet(f"{at}/customer.parquet")
+    before = records_shuffled(spark)
+    assert QUERIES["interval_overlap"](spark, at).selectExpr("count(*) as n", "count_if(id < id_b) as m").first() == (9000 * 8999 // 2,) * 2
+    assert records_shuffled(spark) - before < 5 * 9000
+
+
 def test_rounded_doubles(spark):
     known = {0.0078125: 0.007813, 2.0: 2.0, 1e300: 1e300, float("inf"): float("inf"), None: None}
     df = spark.createDataFrame([(x,) for x in known], "x double").select("x", X.rounded("x", 6).alias("y"))
