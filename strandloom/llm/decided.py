@@ -1,8 +1,9 @@
 """Whole rows kept or repeated by what was decided on slim ones, without a shuffle of the whole rows.
 
 Slim rows carry the number of the partition that they were read in. What is decided on them is written by that number to
-the shared folder, and a second pass over the same partitions looks its own rows up there. A task holds the decisions of its
-partition only. A row without a decision is an error, so partitions that were dealt anew between the passes can't lose one.
+the shared folder, and a second pass over the same partitions looks its own rows up there (taken). A task holds the decisions of its
+partition only. Where no Python is wanted, decisions are looked up by a row's place in its partition instead (repeated).
+A row without a decision is an error, so partitions that were dealt anew between the passes can't lose one.
 """
 
 from __future__ import annotations
@@ -20,12 +21,20 @@ from pyspark.sql import functions as F
 
 from strandloom.llm.common import _STAGED, bounded, row_blocks, staged, work_dir
 
+#: Copies of a row that repeated() can hold, and rows whose decisions it takes to all tasks (two bytes each).
+MOST, HELD = 127, 1 << 24
+
 
 def part():
     """The number of the partition that a row is read in."""
     return F.spark_partition_id()
 
 
+def place():
+    """The position of a row in the partition that it is read in, from 0."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+
+
 def reachable(spark: SparkSession) -> bool:
     """Whether Python workers can open the shared folder as files."""
     return urlparse(work_dir(spark)).scheme in ("", "file")
@@ -49,8 +58,8 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return [ahead + n for n in names]
 
 
-def taken(rows: DataFrame, decided: DataFrame, columns: list[str], keys: list[str], at: str, text: str, once: bool = False) -> DataFrame:
-    """The columns of rows, each row as often as decided says, or, with once, the first of rows alike in a partition so often and the others not at all.
+def taken(rows: DataFrame, decided: DataFrame, columns: list[str], keys: list[str], at: str, text: str) -> DataFrame:
+    """The columns of rows, each row as often as decided says.
 
     rows: columns, keys and the partition under the name at. decided: part, copies and keys by their order.
     """
@@ -75,8 +84,27 @@ def taken(rows: DataFrame, decided: DataFrame, columns: list[str], keys: list[st
                 if key not in held:
                     raise RuntimeError(f"partition {own} has a row that was not in it when decisions were made")
                 wanted[i] = held[key]
-                if once:
-                    held[key] = 0
             yield block.select(columns).take(pa.array(np.repeat(np.arange(block.num_rows), wanted)))
 
     return rows.select(*columns, *[c for c in [*keys, at] if c not in columns]).transform(bounded).mapInArrow(run, rows.select(*columns).schema)
+
+
+def repeated(rows: DataFrame, decided: DataFrame, mark) -> DataFrame:
+    """Each row as often as decided says, with DataFrame functions only: no shuffle, no join and no Python on whole rows.
+
+    decided: part, place, copies and mark, a long for each row, that must be the same in rows. Copies, up to MOST, and eight bits of the
+    mark are packed in two bytes a row, which all tasks get as one value, an array for each partition. A row whose decision is missing or has another mark is an error.
+    """
+    code = F.when(F.col("copies").between(0, MOST), (F.col("copies") * 256 + F.pmod("mark", F.lit(256))).cast("smallint"))
+    code = F.coalesce(code, F.raise_error(F.lit(f"more than {MOST} copies of a row")).cast("smallint"))
+    lists = decided.select("part", "place", code.alias("code")).groupBy("part").agg(F.array_sort(F.collect_list(F.struct("place", "code"))).alias("codes"))
+    lists = lists.select("part", F.transform("codes", lambda c: c["code"]).alias("codes"))
+    by_part = F.map_from_entries(F.collect_list(F.struct("part", "codes")))
+    dense = F.transform(F.sequence(F.lit(0), F.max("part")), lambda p: F.try_element_at(by_part, p))
+    (own,) = free_names(rows, "code")
+    table = staged(lists.agg(dense.alias("codes")), "decided").select("codes").scalar()
+    found = F.get(F.get(table, part()), place().cast("int"))
+    told = rows.withColumn(own, found.cast("int"))
+    lost = F.raise_error(F.lit("a partition has a row that was not in it when decisions were made")).cast("int")
+    copies = F.when(F.pmod(F.col(own), F.lit(256)) == F.pmod(mark, F.lit(256)), F.floor(F.col(own) / 256).cast("int")).otherwise(lost)
+    return told.withColumn(own, F.explode(F.array_repeat(F.lit(0), copies))).select(*rows.columns)

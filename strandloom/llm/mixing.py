@@ -95,21 +95,20 @@ def mix_report(docs: DataFrame, source: str = "source", doc_id: str = "doc_id",
 def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The mixed documents themselves: each row as often as it was drawn, with the columns of docs.
 
-    Copies are drawn on slim rows, and whole rows meet them by id and a hash of the row in the partition that they were
-    read in; only where workers can't open the shared folder are whole rows shuffled, once.
-    Rows alike in all columns go on as one row, drawn as often as all of them together.
+    Copies are drawn on slim rows, which carry the place where their row was read. A second pass over the same partitions repeats whole
+    rows by it, without a shuffle of them; only above decided.HELD rows, or if a row may be drawn more than decided.MOST times, are whole rows
+    shuffled, once, to a join by id and a hash of the row. There rows alike in all columns go on as one row, drawn as often as all of them together.
     """
     docs = decided.steady(docs)
-    own, key, of_id, copies, part = decided.free_names(docs, "row", "key", "of_id", "copies", "part")
+    own, key, of_id, copies = decided.free_names(docs, "row", "key", "of_id", "copies")
     hashed = F.xxhash64(*[F.map_entries(f.name) if isinstance(f.dataType, MapType) else F.col(f.name) for f in docs.schema])
     sized = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    slim = staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), hashed.alias(own), decided.part().alias(part), sized.alias("size")), "sizes")
-    drawn = sample_copies(slim, **options).groupBy("doc_id", own).agg(F.sum("copies").alias(copies), F.count("*").alias("rows"), F.collect_set(part).alias(part))
-    if decided.reachable(docs.sparkSession):
-        placed = drawn.select("doc_id", own, copies, F.array_min(part).alias("first"), F.explode(part).alias("part"))
-        wanted = placed.select("part", "doc_id", own, F.when(F.col("part") == F.col("first"), F.col(copies)).otherwise(0).alias("copies"))
-        keyed = docs.withColumns({of_id: F.col(doc_id), own: hashed, part: decided.part()})
-        return decided.taken(keyed, wanted, docs.columns, [of_id, own], part, text, once=True)
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), hashed.alias("mark"), decided.part().alias("part"), decided.place().alias("place"), sized.alias("size"))
+    slim = staged(slim, "sizes")
+    sampled = sample_copies(slim, **options)
+    if options.get("most", MOST) < decided.MOST and slim.count() <= decided.HELD:
+        return decided.repeated(docs, sampled.select("part", "place", "copies", "mark"), hashed)
+    drawn = sampled.groupBy("doc_id", F.col("mark").alias(own)).agg(F.sum("copies").alias(copies), F.count("*").alias("rows"))
     drawn = staged(drawn.where(F.col(copies) > 0).select(F.col("doc_id").alias(of_id), F.col(own).alias(key), copies, "rows"), "drawn", slim=True)
     met = lambda part: docs.withColumn(own, hashed).join(part.drop("rows"), F.col(doc_id).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(key)))
     repeated = drawn.where("rows > 1")
