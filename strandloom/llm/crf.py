@@ -19,6 +19,8 @@ import numpy as np
 from strandloom.llm.common import ragged
 
 BUCKETS_BITS, ORDERS, CHAIN, PIECE = 18, (2, 3, 4), 64, 1 << 19
+#: Bytes of words that are hashed at once.
+HASHED = 1 << 18
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[97:123] = _IS_WORD[128:] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -78,12 +80,23 @@ def gram_buckets(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def word_buckets(words: Words) -> np.ndarray:
+    """The weight index of each word, some words at a time, as the sums take eight bytes several times for each byte of text."""
+    out, w0 = np.empty(len(words.starts), np.int32), 0
+    while w0 < len(out):
+        first = int(words.starts[w0])
+        w1 = max(w0 + 1, int(np.searchsorted(words.ends, first + HASHED, side="right")))
+        out[w0:w1] = _word_buckets(words.data[first : words.ends[w1 - 1]], words.starts[w0:w1] - first, words.ends[w0:w1] - first)
+        w0 = w1
+    return out
+
+
+def _word_buckets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        n = len(words.data)
+        n = len(data)
         powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, _STEP)]))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((words.data.astype(np.uint64) + np.uint64(1)) * powers)])
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers)])
         back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, _STEP_BACK)]))
-        own = (sums[words.ends] - sums[words.starts]) * back[words.starts]
+        own = (sums[ends] - sums[starts]) * back[starts]
         own ^= own >> np.uint64(31)
         own *= np.uint64(0xBF58476D1CE4E5B9)
     return (own >> np.uint64(64 - BUCKETS_BITS)).astype(np.int32)
@@ -180,11 +193,16 @@ def fit(labels: list[str], words: Words, gold: np.ndarray, epochs: int = 6, batc
     starts, lengths = starts[by_start], lengths[by_start]
     if not len(starts):
         return model
-    grams = []
-    for order, buckets in gram_buckets(words.data):
-        counts = np.maximum(words.ends - words.starts + 3 - order, 0)
-        grams.append((buckets[ragged(words.starts - 1, counts)], np.concatenate([[0], np.cumsum(counts)])))
-    grams.append((word_buckets(words), np.arange(len(words.starts) + 1)))
+    own_buckets = word_buckets(words)
+
+    def features(w0: int, w1: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Weight index and word, counted from w0, of each feature of the words from w0 to w1; made anew for each batch, as those of all words take many times their text."""
+        first, found = int(words.starts[w0]) - 1, []
+        for order, buckets in gram_buckets(words.data[first : words.ends[w1 - 1] + 1]):
+            counts = np.maximum(words.ends[w0:w1] - words.starts[w0:w1] + 3 - order, 0)
+            found.append((buckets[ragged(words.starts[w0:w1] - 1 - first, counts)], np.repeat(np.arange(w1 - w0), counts)))
+        return [*found, (own_buckets[w0:w1], np.arange(w1 - w0))]
+
     cuts = [0, *[i for i in range(1, len(starts)) if starts[i] // batch != starts[i - 1] // batch], len(starts)]
     squares, bias_sq, trans_sq = [np.full(size, 1e-2, np.float32) for _ in labels], np.full(k, 1e-2), np.full((k, k), 1e-2)
     rng = np.random.default_rng(seed)
@@ -192,7 +210,7 @@ def fit(labels: list[str], words: Words, gold: np.ndarray, epochs: int = 6, batc
         for b in rng.permutation(len(cuts) - 1):
             own, lens = starts[cuts[b] : cuts[b + 1]], lengths[cuts[b] : cuts[b + 1]]
             w0, w1 = int(own[0]), int(own[-1] + lens[-1])
-            parts = [(buckets[bounds[w0] : bounds[w1]], np.repeat(np.arange(w1 - w0), np.diff(bounds[w0 : w1 + 1]))) for buckets, bounds in grams]
+            parts = features(w0, w1)
             scores = np.repeat(model.bias[None, :], w1 - w0, 0)
             for at, word in parts:
                 for j, w in enumerate(model.weights):

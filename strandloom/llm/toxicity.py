@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm import crf
-from strandloom.llm.common import bounded, crc_of_id, hash_share, row_blocks
+from strandloom.llm.common import bounded, crc_of_id, give_back, hash_share, row_blocks
 
 SAMPLE, LONGEST, HELD, FOLDS = 900, 10_000, 0, 5
 
@@ -80,14 +80,13 @@ def _stems(word: bytes) -> list[bytes]:
 def token_labels(words: crf.Words, toxic: np.ndarray, least: float = 2.5) -> np.ndarray:
     """1 for words of toxic documents that mark them, else 0. toxic: by piece."""
     raw, spelled = words.data.tobytes(), []
-    for a, b in zip(words.starts.tolist(), words.ends.tolist(), strict=True):
-        spelled.append(raw[a:b])
+    known: dict[bytes, bytes] = {}  # one object for each different word
     counts: list[Counter] = [Counter(), Counter()]
-    seen: dict[int, set[bytes]] = {}
-    for w, p in zip(spelled, words.piece.tolist(), strict=True):
-        seen.setdefault(p, set()).add(w)
-    for p, own in seen.items():
-        counts[int(toxic[p])].update({s for w in own for s in _stems(w)})
+    bounds = np.searchsorted(words.piece, np.arange(len(toxic) + 1)).tolist()
+    for p, (w0, w1) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        own = [known.setdefault(w, w) for w in (raw[a:b] for a, b in zip(words.starts[w0:w1].tolist(), words.ends[w0:w1].tolist(), strict=True))]
+        spelled += own
+        counts[int(toxic[p])].update({s for w in set(own) for s in _stems(w)})
     n = [max(1, int((toxic == c).sum())) for c in (0, 1)]
     odds: dict[bytes, float] = {}
 
@@ -97,7 +96,10 @@ def token_labels(words: crf.Words, toxic: np.ndarray, least: float = 2.5) -> np.
             odds[w] = max(found, default=0.0)
         return odds[w] >= least
 
-    return np.array([bool(toxic[p]) and marks(w) for w, p in zip(spelled, words.piece.tolist(), strict=True)], dtype=np.int64)
+    gold = np.zeros(len(spelled), np.int64)
+    for p in np.flatnonzero(toxic).tolist():
+        gold[bounds[p] : bounds[p + 1]] = [marks(w) for w in spelled[bounds[p] : bounds[p + 1]]]
+    return gold
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, held: int = HELD, folds: int = FOLDS) -> ToxicityModel:
@@ -124,6 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, held: int = HE
     features, _ = model.features(texts)
     weights = np.where(toxic == 1, prior / toxic.mean(), (1 - prior) / (1 - toxic.mean()))
     model.logistic = _weighted(features, toxic, weights)
+    give_back()
     return model
 
 
