@@ -84,3 +84,12 @@ def test_rounded_doubles(spark):
 def test_late_orders_are_offered(spark, folder):
     at = folder("orders", [(70001, 1), (70002, 1)], "o_orderkey long, o_custkey long")
     assert {r.name for r in QUERIES["offer"](spark, at).collect()} == {"N70001", "N70002"}
+
+
+def test_pairs_of_blocks_are_written_in_runs(spark, tmp_path):
+    df = spark.range(6000).selectExpr("concat('r', id * 7919 % 6000) as id", "'k' as name", "cast(id % 2 as double) as v")
+    pairs = dedupe.key_pairs(df, "name", lambda a, b: F.col(a("v")) + F.col(b("v")), block=1000)
+    pairs.write.parquet(str(tmp_path / "pairs"))
+    size = sum(p.stat().st_size for p in (tmp_path / "pairs").rglob("*.parquet"))
+    assert spark.read.parquet(str(tmp_path / "pairs")).count() == 6000 * 5999 // 2
+    assert size < 1.5 * 6000 * 5999 / 2  # bytes a pair
